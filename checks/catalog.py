@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.bindings import PROJECT, Bindings
 from ledgerloom.functions import ladder
@@ -34,10 +35,22 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Callable[[Bindings], DataFrame]) -> Callable[[Bindings], DataFrame]:
-    _REGISTRY[fn.__name__] = lambda spark, sf_dir: fn(Bindings(spark, sf_dir))
+    _REGISTRY[fn.__name__] = lambda spark, sf_dir: _plain(fn(Bindings(spark, sf_dir)))
     return fn
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles and id lists as text, which both engines hand over in one form."""
+    def plain(field: T.StructField):
+        if isinstance(field.dataType, T.DecimalType):
+            return F.col(field.name).cast("double").alias(field.name)
+        if isinstance(field.dataType, T.ArrayType):
+            return F.array_join(field.name, ",").alias(field.name)
+        return F.col(field.name)
+
+    return df.select(*[plain(f) for f in df.schema.fields])
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 

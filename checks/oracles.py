@@ -94,10 +94,32 @@ def _flagship() -> str:
 
 
 def _annuity(principal: str, rate: str, n: str) -> str:
+    """Level payment in doubles, for terms so long that no exact half cent occurs."""
     p, r = f"CAST({principal} AS DOUBLE)", f"CAST({rate} AS DOUBLE)"
-    return f"""CAST(CASE WHEN {n} <= 0 OR {principal} <= 0 THEN 0 WHEN {rate} = 0
-            THEN CAST((CAST({principal} * 200 AS BIGINT) + {n}) // (2 * greatest({n}, 1)) AS DECIMAL(16,0)) * 0.01
-        ELSE round({p} * {r} * pow(1 + {r}, {n}) / (pow(1 + {r}, {n}) - 1), 2) END AS DECIMAL(14,2))"""
+    return f"CAST(round({p} * {r} * pow(1 + {r}, {n}) / (pow(1 + {r}, {n}) - 1), 2) AS DECIMAL(14,2))"
+
+
+# (100 + percent)^m and 100^m as whole numbers
+_GROWTH = "SELECT * FROM (VALUES {}) t(percent, m, grown, ground)".format(
+    ", ".join(
+        f"({percent}, {m}, {(100 + percent) ** m}::HUGEINT, {100 ** m}::HUGEINT)"
+        for percent in (10, 16) for m in range(1, 9)
+    )
+)
+
+
+def _level(principal: str, g: str) -> str:
+    """Level payment rounded half up in whole numbers; ``g`` is a row of the growth table."""
+    cents = f"CAST({principal} * 100 AS HUGEINT)"
+    gain = f"({g}.grown - {g}.ground)"
+    return f"""CAST(CASE WHEN {principal} <= 0 THEN 0
+        ELSE CAST((2 * {cents} * {g}.percent * {g}.grown + 100 * {gain}) // (200 * {gain}) AS DECIMAL(16,0)) * 0.01
+        END AS DECIMAL(14,2))"""
+
+
+def _even(principal: str, n: str) -> str:
+    return f"""CAST(CAST((CAST({principal} * 200 AS BIGINT) + {n}) // (2 * {n}) AS DECIMAL(16,0)) * 0.01
+        AS DECIMAL(14,2))"""
 
 
 def _due(start: str, i: str) -> str:
@@ -107,10 +129,11 @@ def _due(start: str, i: str) -> str:
 def _forecast(where: str) -> dict[str, str]:
     cents = "CAST(round({} , 2) AS DECIMAL(14,2))"
     return {
+        "growth": _GROWTH,
         "plan": f"""
             SELECT id, start_date, term_months AS n, CAST(interest_rate / 100 AS DECIMAL(14,8)) AS r, amount,
-                   {_annuity('amount', '(interest_rate / 100)', 'term_months')} AS level
-            FROM contract_loans WHERE {where}""",
+                   {_level('amount', 'g')} AS level
+            FROM contract_loans JOIN growth g ON g.percent = interest_rate AND g.m = term_months WHERE {where}""",
         "forecast": f"""
             SELECT id, 0 AS i, amount AS balance, CAST(0 AS DECIMAL(14,2)) AS principal,
                    CAST(0 AS DECIMAL(14,2)) AS interest
@@ -134,6 +157,7 @@ def _forecast(where: str) -> dict[str, str]:
 def _recalculated() -> dict[str, str]:
     cents = "CAST(round({} , 2) AS DECIMAL(14,2))"
     return {
+        "growth": _GROWTH,
         "periods": f"""
             SELECT id, CAST(g AS INT) AS i, {_due('start_date', 'g - 1')} AS after, {_due('start_date', 'g')} AS due
             FROM contract_loans, LATERAL (SELECT unnest(range(1, term_months + 1)) AS g)""",
@@ -142,7 +166,8 @@ def _recalculated() -> dict[str, str]:
             FROM periods JOIN contract_payments ON loan_id = id AND payment_date > after AND payment_date <= due
             GROUP BY id, i""",
         "basis": """
-            SELECT id, start_date, term_months AS n, CAST(interest_rate / 100 AS DECIMAL(14,8)) AS r, amount, status
+            SELECT id, start_date, term_months AS n, CAST(interest_rate / 100 AS DECIMAL(14,8)) AS r, amount, status,
+                   interest_rate
             FROM contract_loans""",
         "recalc": f"""
             SELECT id, 0 AS i, amount AS balance, FALSE AS projecting, CAST(0 AS DECIMAL(14,2)) AS level,
@@ -165,8 +190,10 @@ def _recalculated() -> dict[str, str]:
                         SELECT q.id, q.i + 1 AS i, q.balance, d.paid, b.n,
                                {cents.format('q.balance * b.r')} AS interest,
                                CASE WHEN d.paid IS NOT NULL OR q.projecting THEN q.level
-                                    ELSE {_annuity('q.balance', 'b.r', '(b.n - q.i)')} END AS level
-                        FROM recalc q JOIN basis b USING (id) LEFT JOIN paid d ON d.id = q.id AND d.i = q.i + 1
+                                    ELSE {_level('q.balance', 'g')} END AS level
+                        FROM recalc q JOIN basis b USING (id)
+                        JOIN growth g ON g.percent = b.interest_rate AND g.m = b.n - q.i
+                        LEFT JOIN paid d ON d.id = q.id AND d.i = q.i + 1
                         WHERE q.i < b.n)))""",
         "recalc_rows": f"""
             SELECT q.id AS loan_id, CASE WHEN b.status = 'active' THEN 2 ELSE 1 END AS version, i AS payment_number,
@@ -228,7 +255,35 @@ _FORM = """
     WHERE {where}"""
 
 
+_SCHEDULE_AMOUNTS = ["total_payment", "principal_part", "interest_part", "open_principal"]
+_DECIMALS = {
+    "annuity_payment": ["payment", "payment_no_rate", "payment_no_term", "payment_long"],
+    "forecast_schedule": _SCHEDULE_AMOUNTS,
+    "recalculate_schedule": _SCHEDULE_AMOUNTS,
+    "latest_version": _SCHEDULE_AMOUNTS,
+    "refresh_loan_status": ["amount", "interest_rate"],
+    "payments_by_billing_month": ["total_payment_amount"],
+    "vat_by_country": ["vat"],
+    "revenue_snapshot_day": [
+        "total_repayment_amount_local", "fga_sum_local", "disbursed_amount_local", "paid_total_local",
+        "fixed_fee_local", "vat", "refill_amount",
+    ],
+}
+_LISTS = {name: ["transactions_ids"] for name in ("daily_payments", "daily_accrual_fixed", "daily_accrual")}
+
+
 def all_oracles() -> dict[str, str]:
+    """SQL per query, with decimals as doubles and id lists as text like the queries."""
+    return {name: _plain(name, sql) for name, sql in _oracles().items()}
+
+
+def _plain(name: str, sql: str) -> str:
+    casts = [f"CAST({x} AS DOUBLE) AS {x}" for x in _DECIMALS.get(name, [])]
+    casts += [f"array_to_string({x}, ',') AS {x}" for x in _LISTS.get(name, [])]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
+
+
+def _oracles() -> dict[str, str]:
     fixed_status, fixed_label = _ladder("25")
     policy_status, policy_label = _ladder("(100 // periods)")
     return {
@@ -306,11 +361,11 @@ def all_oracles() -> dict[str, str]:
         "active_offers": with_ctes("SELECT * FROM offers WHERE status = 'ACTIVE'"),
         "annuity_payment": with_ctes(
             f"""
-            SELECT id, {_annuity('amount', '(interest_rate / 100)', 'term_months')} AS payment,
-                   {_annuity('amount', '0', 'term_months')} AS payment_no_rate,
+            SELECT id, {_level('amount', 'g')} AS payment, {_even('amount', 'term_months')} AS payment_no_rate,
                    CAST(0 AS DECIMAL(14,2)) AS payment_no_term,
                    {_annuity('amount', '(interest_rate / 10000)', '(45 * term_months)')} AS payment_long
-            FROM contract_loans"""
+            FROM contract_loans JOIN growth g ON g.percent = interest_rate AND g.m = term_months""",
+            {"growth": _GROWTH},
         ),
         "forecast_schedule": with_ctes("SELECT * FROM forecast_rows", _forecast("TRUE"), recursive=True),
         "recalculate_schedule": with_ctes("SELECT * FROM recalc_rows", _recalculated(), recursive=True),

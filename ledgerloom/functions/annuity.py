@@ -1,8 +1,10 @@
-"""Level-payment arithmetic in decimals.
+"""Level-payment arithmetic, rounded to cents as exact arithmetic would round it.
 
-The payment on principal P at rate r over n periods is P * r / (1 - v**n) with v = 1 / (1 + r).
-Working with the discount v <= 1 keeps every power inside DECIMAL(30,28), so long terms lose no
-digits and never overflow. A rate of zero divides the principal evenly.
+The payment on principal P at rate r over n periods is P * r * q / (q - 1) with q = (1 + r)**n. Exact
+half cents do occur (10 % over two periods, say), so the quotient is rounded by integer division of
+whole numbers, which cannot miss a tie. Where q or the product outgrows 38 digits the payment is
+P * r / (1 - v) with v = (1 + r)**-n <= 1, which keeps 18 digits however long the term. A rate of
+zero divides the principal evenly.
 """
 
 from __future__ import annotations
@@ -11,49 +13,88 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 RATE = "decimal(14,8)"
-POWER = "decimal(30,28)"
+GROWTH = "decimal(22,16)"
+DECAY = "decimal(30,28)"
 FACTOR = "decimal(22,18)"
 
 
-def discount(rate: Column) -> Column:
-    """v = 1 / (1 + r)."""
-    return (F.lit(1).cast("decimal(20,18)") / (F.lit(1) + rate.cast(RATE)).cast("decimal(15,8)")).cast(POWER)
+def _whole(value: int) -> Column:
+    return F.lit(value).cast(f"decimal({len(str(value))},0)")
 
 
-def _factor(rate: Column, power: Column) -> Column:
-    """Payment per unit of principal, from v**n; NULL when the rate is zero."""
-    rest = (F.lit(1) - power).cast("decimal(21,19)")
-    return F.when(rate != 0, (rate.cast("decimal(9,8)") / F.nullif(rest, F.lit(0))).cast(FACTOR))
+def _growth_base(rate: Column) -> Column:
+    return (F.lit(1) + rate.cast(RATE)).try_cast("decimal(9,8)")
 
 
-def annuity_factor(rate: Column, n: Column) -> Column:
-    """Payment per unit of principal over ``n`` periods."""
-    v = discount(rate)
-    steps = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    power = F.aggregate(steps, F.lit(1).cast(POWER), lambda acc, _: (acc * v).cast(POWER))
-    return _factor(rate, power)
+def _decay_base(rate: Column) -> Column:
+    base = (F.lit(1) + rate.cast(RATE)).cast("decimal(15,8)")
+    return (F.lit(1).cast("decimal(20,18)") / base).cast(DECAY)
 
 
-def annuity_factors(rate: Column, n: Column) -> Column:
-    """Array whose element m is the factor over m periods, m = 1..n, from one running product."""
-    v = discount(rate)
-    steps = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    powers = F.aggregate(
-        steps,
-        F.array(F.lit(1).cast(POWER)),
-        lambda acc, _: F.concat(acc, F.array((F.element_at(acc, -1) * v).cast(POWER))),
-    )
-    return F.transform(F.slice(powers, 2, F.greatest(n, F.lit(1))), lambda p: _factor(rate, p))
+def _power(base: Column, n: Column, kind: str) -> Column:
+    """base**n for n >= 1 by squaring along the bits of n; NULL when it outgrows ``kind``."""
+    bits = F.sequence(F.length(F.bin(n)) - 1, F.lit(0), F.lit(-1))
+
+    def step(acc: Column, k: Column) -> Column:
+        square = (acc * acc).try_cast(kind)
+        odd = F.call_function("shiftright", n, k).bitwiseAND(F.lit(1)) == 1
+        return F.when(odd, (square * base).try_cast(kind)).otherwise(square)
+
+    return F.aggregate(bits, F.lit(1).cast(kind), step)
+
 
+def _exact_cents(principal: Column, rate: Column, growth: Column) -> Column:
+    """Payment in cents, half a cent rounding up; NULL when the digits do not fit."""
+    amount = (principal * 100).cast("decimal(16,0)")
+    per = (rate.cast(RATE) * _whole(10**8)).cast("decimal(14,0)")
+    grown = ((growth * _whole(10**8)).cast("decimal(24,8)") * _whole(10**8)).cast("decimal(24,0)")
+    gained = grown - _whole(10**16)
+    top = F.try_multiply(F.try_multiply(F.try_multiply(amount, per), grown), _whole(2))
+    half = gained * _whole(10**8)
+    return F.call_function("div", F.try_add(top, half), F.nullif(half * _whole(2), F.lit(0)))
 
-def payment_from_factor(principal: Column, factor: Column, n: Column) -> Column:
-    """Level payment rounded to cents; 0.00 when nothing is owed or no period is left."""
-    even = F.round(principal.cast("decimal(14,2)") / F.nullif(n, F.lit(0)), 2)
-    level = F.round(principal.cast("decimal(14,2)") * factor, 2)
-    owed = (n > 0) & (principal > 0)
-    return F.when(owed, F.coalesce(level, even)).otherwise(F.lit(0)).cast("decimal(14,2)")
+
+def _factor(rate: Column, decay: Column) -> Column:
+    """Payment per unit of principal; NULL when the rate is zero."""
+    rest = (F.lit(1) - decay).cast("decimal(21,19)")
+    return F.when(rate != 0, (rate.cast("decimal(9,8)") / F.nullif(rest, F.lit(0))).cast(FACTOR))
+
+
+def level_payment(principal: Column, rate: Column, n: Column, growth: Column, factor: Column) -> Column:
+    """Payment from ready powers; 0.00 when nothing is owed or no period is left."""
+    principal = principal.cast("decimal(14,2)")
+    exact = _exact_cents(principal, rate, growth).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")
+    long_term = F.round(principal * factor, 2)
+    even = F.round(principal / F.nullif(n, F.lit(0)), 2)
+    payment = F.when(rate == 0, even).otherwise(F.coalesce(exact, long_term))
+    return F.when((n > 0) & (principal > 0), payment).otherwise(F.lit(0)).cast("decimal(14,2)")
 
 
 def annuity(principal: Column, rate: Column, n: Column) -> Column:
     """Level payment per period; ``rate`` is a fraction per period."""
-    return payment_from_factor(principal, annuity_factor(rate, n), n)
+    periods = F.greatest(n.cast("int"), F.lit(1))
+    growth = _power(_growth_base(rate), periods, GROWTH)
+    factor = _factor(rate, _power(_decay_base(rate), periods, DECAY))
+    return level_payment(principal, rate, n, growth, factor)
+
+
+def annuity_powers(rate: Column, n: Column) -> Column:
+    """Array whose element m has the growth and factor over m periods, m = 1..n."""
+    up, down = _growth_base(rate), _decay_base(rate)
+
+    def step(acc: Column, _: Column) -> Column:
+        last = F.element_at(acc, -1)
+        following = F.struct(
+            (last["growth"] * up).try_cast(GROWTH).alias("growth"),
+            (last["decay"] * down).cast(DECAY).alias("decay"),
+        )
+        return F.concat(acc, F.array(following))
+
+    seed = F.array(F.struct(F.lit(1).cast(GROWTH).alias("growth"), F.lit(1).cast(DECAY).alias("decay")))
+    seed = seed.cast(f"array<struct<growth:{GROWTH},decay:{DECAY}>>")
+    periods = F.greatest(n, F.lit(1))
+    powers = F.aggregate(F.sequence(F.lit(1), periods), seed, step)
+    return F.transform(
+        F.slice(powers, 2, periods),
+        lambda p: F.struct(p["growth"].alias("growth"), _factor(rate, p["decay"]).alias("factor")),
+    )

@@ -7,7 +7,7 @@ import datetime as dt_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.annuity import RATE, annuity_factors, payment_from_factor
+from ledgerloom.functions.annuity import RATE, annuity, annuity_powers, level_payment
 from ledgerloom.functions.arith import money
 
 ROW = (
@@ -61,7 +61,7 @@ def forecast_schedule(loans: DataFrame) -> DataFrame:
     rate of zero the principal is divided evenly.
     """
     rate, term, start = F.col("_rate"), F.col("term_months"), F.col("start_date")
-    level = payment_from_factor(F.col("amount"), F.element_at(annuity_factors(rate, term), -1), term)
+    level = annuity(F.col("amount"), rate, term)
 
     def step(acc: Column, i: Column) -> Column:
         last = i == term
@@ -160,7 +160,8 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
 
     def projected(acc: Column, i: Column, interest: Column) -> Column:
         left = term - i + 1
-        fresh = payment_from_factor(acc["balance"], F.element_at(F.col("_factors"), left), left)
+        power = F.element_at(F.col("_powers"), left)
+        fresh = level_payment(acc["balance"], rate, left, power["growth"], power["factor"])
         return _let(
             F.when(acc["projecting"], acc["level"]).otherwise(fresh),
             lambda level: _let(
@@ -207,7 +208,7 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
     return (
         _paid_by_period(needed, payments)
         .withColumn("_rate", _rate(F.col("interest_rate")))
-        .withColumn("_factors", annuity_factors(rate, term))
+        .withColumn("_powers", annuity_powers(rate, term))
         .withColumn("_rows", F.aggregate(_numbers(term), seed, step, lambda acc: acc["rows"]))
         .select("id", "_rows")
         .join(newest_version(schedules).withColumnRenamed("loan_id", "id"), "id", "left")
