@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.arith import let
+
 RATE = "decimal(14,8)"
 GROWTH = "decimal(22,16)"
 DECAY = "decimal(30,28)"
@@ -36,9 +38,11 @@ def _power(base: Column, n: Column, kind: str) -> Column:
     bits = F.sequence(F.length(F.bin(n)) - 1, F.lit(0), F.lit(-1))
 
     def step(acc: Column, k: Column) -> Column:
-        square = (acc * acc).try_cast(kind)
         odd = F.call_function("shiftright", n, k).bitwiseAND(F.lit(1)) == 1
-        return F.when(odd, (square * base).try_cast(kind)).otherwise(square)
+        return let(
+            (acc * acc).try_cast(kind),
+            lambda square: F.when(odd, (square * base).try_cast(kind)).otherwise(square),
+        )
 
     return F.aggregate(bits, F.lit(1).cast(kind), step)
 
@@ -47,17 +51,23 @@ def _exact_cents(principal: Column, rate: Column, growth: Column) -> Column:
     """Payment in cents, half a cent rounding up; NULL when the digits do not fit."""
     amount = (principal * 100).cast("decimal(16,0)")
     per = (rate.cast(RATE) * _whole(10**8)).cast("decimal(14,0)")
-    grown = ((growth * _whole(10**8)).cast("decimal(24,8)") * _whole(10**8)).cast("decimal(24,0)")
-    gained = grown - _whole(10**16)
-    top = F.try_multiply(F.try_multiply(F.try_multiply(amount, per), grown), _whole(2))
-    half = gained * _whole(10**8)
-    return F.call_function("div", F.try_add(top, half), F.nullif(half * _whole(2), F.lit(0)))
+    shifted = (growth * _whole(10**8)).cast("decimal(24,8)") * _whole(10**8)
+
+    def divide(grown: Column) -> Column:
+        top = F.try_multiply(F.try_multiply(F.try_multiply(amount, per), grown), _whole(2))
+        half = (grown - _whole(10**16)) * _whole(10**8)
+        # a growth of one to sixteen digits has nothing to divide by
+        return F.when(grown > _whole(10**16), F.call_function("div", F.try_add(top, half), half * _whole(2)))
+
+    return let(shifted.cast("decimal(24,0)"), divide)
 
 
 def _factor(rate: Column, decay: Column) -> Column:
     """Payment per unit of principal; NULL when the rate is zero."""
-    rest = (F.lit(1) - decay).cast("decimal(21,19)")
-    return F.when(rate != 0, (rate.cast("decimal(9,8)") / F.nullif(rest, F.lit(0))).cast(FACTOR))
+    per = rate.cast("decimal(9,8)")
+    return F.when(
+        rate != 0, let((F.lit(1) - decay).cast("decimal(21,19)"), lambda rest: F.try_divide(per, rest).cast(FACTOR))
+    )
 
 
 def level_payment(principal: Column, rate: Column, n: Column, growth: Column, factor: Column) -> Column:
@@ -73,9 +83,9 @@ def level_payment(principal: Column, rate: Column, n: Column, growth: Column, fa
 def annuity(principal: Column, rate: Column, n: Column) -> Column:
     """Level payment per period; ``rate`` is a fraction per period."""
     periods = F.greatest(n.cast("int"), F.lit(1))
-    growth = _power(_growth_base(rate), periods, GROWTH)
-    factor = _factor(rate, _power(_decay_base(rate), periods, DECAY))
-    return level_payment(principal, rate, n, growth, factor)
+    growth = let(_growth_base(rate), lambda base: _power(base, periods, GROWTH))
+    decay = let(_decay_base(rate), lambda base: _power(base, periods, DECAY))
+    return level_payment(principal, rate, n, growth, _factor(rate, decay))
 
 
 def annuity_powers(rate: Column, n: Column) -> Column:

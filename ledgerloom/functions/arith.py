@@ -18,3 +18,12 @@ def to_int(x: Column) -> Column:
 
 def money(x: Column) -> Column:
     return x.cast("decimal(14,2)")
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body``.
+
+    Inside higher-order functions an expression used twice is computed twice; a one-element
+    transform binds it instead.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

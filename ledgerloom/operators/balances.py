@@ -91,7 +91,7 @@ def _running_balances(base: DataFrame, daily: DataFrame, rolls: int) -> DataFram
         F.col("_peak"),
     )
     pieces = F.when(F.col("_nth") == 1, F.array(opening, current)).otherwise(F.array(current))
-    spans = paydays.select("loan_id", *AMOUNTS, F.inline(pieces)).filter(F.col("_from") <= F.col("_to"))
+    spans = paydays.select("loan_id", *AMOUNTS, F.inline_outer(pieces)).filter(F.col("_from") <= F.col("_to"))
     spill = F.greatest(F.col("_peak") - F.col("open_vat"), F.lit(0))
     # a balance of exactly zero is written once and ends the loan
     return spans.withColumns(_after(F.col("_paid"), spill)).withColumn(
@@ -113,5 +113,6 @@ def rebuild_balances(
     if rolls <= 0:
         return kept
     spans = _running_balances(latest_open(kept), daily, rolls)
-    days = F.explode(F.sequence("_from", "_to")).alias("balance_date")
+    # spans are never empty; the outer form spares a filter that would build each sequence twice
+    days = F.explode_outer(F.sequence("_from", "_to")).alias("balance_date")
     return kept.unionByName(spans.select("loan_id", days, *AMOUNTS))

@@ -45,7 +45,8 @@ def merged_values(patches: DataFrame) -> DataFrame:
     A maximum per key, combined map-side; patches of one application are never gathered.
     """
     return (
-        patches.select("application_id", "seq", F.explode(F.from_json("patch", "map<string,string>")))
+        patches.select("application_id", "seq", F.explode_outer(F.from_json("patch", "map<string,string>")))
+        .filter(F.col("key").isNotNull())
         .groupBy("application_id", "key")
         .agg(F.max_by("value", "seq").alias("value"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.annuity import RATE, annuity, annuity_powers, level_payment
-from ledgerloom.functions.arith import money
+from ledgerloom.functions.arith import let, money
 
 ROW = (
     "struct<payment_number:int,payment_date:date,total_payment:decimal(14,2),"
@@ -41,11 +41,6 @@ def _row(number, due, total, principal, interest, remaining, status) -> Column:
     )
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``: a one-element transform."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _numbers(term: Column) -> Column:
     """1 .. term, empty for a term below one."""
     return F.when(term >= 1, F.sequence(F.lit(1), F.greatest(term, F.lit(1)))).otherwise(
@@ -53,6 +48,16 @@ def _numbers(term: Column) -> Column:
     )
 
 
+def _as_rows(loans: DataFrame, version: Column) -> DataFrame:
+    """Schedule rows out of the folded ``_rows``.
+
+    The outer form, with its one empty row dropped, because the plain one makes Catalyst add a
+    filter that computes the whole fold again to see whether it is empty.
+    """
+    rows = loans.select(F.col("id").alias("loan_id"), version.cast("int").alias("version"), F.inline_outer("_rows"))
+    return rows.filter(F.col("payment_number").isNotNull())
+
+
 def forecast_schedule(loans: DataFrame) -> DataFrame:
     """Level-payment schedule of every loan, version 1; the last payment clears the balance.
 
@@ -65,9 +70,9 @@ def forecast_schedule(loans: DataFrame) -> DataFrame:
 
     def step(acc: Column, i: Column) -> Column:
         last = i == term
-        return _let(
+        return let(
             _cents(acc["balance"] * rate),
-            lambda interest: _let(
+            lambda interest: let(
                 money(F.when(last, acc["balance"]).otherwise(F.col("_level") - interest)),
                 lambda principal: F.struct(
                     _cents(acc["balance"] - principal).alias("balance"),
@@ -90,12 +95,12 @@ def forecast_schedule(loans: DataFrame) -> DataFrame:
         )
 
     seed = F.struct(money(F.col("amount")).alias("balance"), F.array().cast(f"array<{ROW}>").alias("rows"))
-    return (
+    folded = (
         loans.withColumn("_rate", _rate(F.col("interest_rate")))
         .withColumn("_level", level)
         .withColumn("_rows", F.aggregate(_numbers(term), seed, step, lambda acc: acc["rows"]))
-        .select(F.col("id").alias("loan_id"), F.lit(1).alias("version"), F.inline("_rows"))
     )
+    return _as_rows(folded, F.lit(1))
 
 
 def period_of(start: Column, paid_on: Column) -> Column:
@@ -151,7 +156,7 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
 
     def actual(acc: Column, i: Column, paid: Column, interest: Column) -> Column:
         to_interest = F.least(paid, interest)
-        return _let(
+        return let(
             money(F.least(paid - to_interest, acc["balance"])),
             lambda principal: _next(
                 acc, i, paid, principal, to_interest, "actual", F.lit(False), acc["level"]
@@ -162,15 +167,15 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
         left = term - i + 1
         power = F.element_at(F.col("_powers"), left)
         fresh = level_payment(acc["balance"], rate, left, power["growth"], power["factor"])
-        return _let(
+        return let(
             F.when(acc["projecting"], acc["level"]).otherwise(fresh),
-            lambda level: _let(
+            lambda level: let(
                 money(
                     F.when(acc["balance"] <= 0, F.lit(0))
                     .when(i == term, acc["balance"])
                     .otherwise(F.least(level - interest, acc["balance"]))
                 ),
-                lambda principal: _let(
+                lambda principal: let(
                     money(F.when(acc["balance"] <= 0, F.lit(0)).otherwise(interest)),
                     lambda due: _next(
                         acc, i, principal + due, principal, due, "scheduled", F.lit(True), level
@@ -190,7 +195,7 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
         )
 
     def step(acc: Column, i: Column) -> Column:
-        return _let(
+        return let(
             _cents(F.greatest(F.lit(0).cast("decimal(14,2)"), acc["balance"]) * rate),
             lambda interest: F.when(
                 F.map_contains_key("_paid", i),
@@ -205,19 +210,15 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
         F.array().cast(f"array<{ROW}>").alias("rows"),
     )
     needed = loans.select("id", "amount", "interest_rate", "term_months", "start_date")
-    return (
+    folded = (
         _paid_by_period(needed, payments)
         .withColumn("_rate", _rate(F.col("interest_rate")))
         .withColumn("_powers", annuity_powers(rate, term))
         .withColumn("_rows", F.aggregate(_numbers(term), seed, step, lambda acc: acc["rows"]))
         .select("id", "_rows")
         .join(newest_version(schedules).withColumnRenamed("loan_id", "id"), "id", "left")
-        .select(
-            F.col("id").alias("loan_id"),
-            (F.coalesce("version", F.lit(0)) + 1).cast("int").alias("version"),
-            F.inline("_rows"),
-        )
     )
+    return _as_rows(folded, F.coalesce("version", F.lit(0)) + 1)
 
 
 def unknown_loans(wanted: DataFrame, loans: DataFrame) -> DataFrame:
