@@ -36,9 +36,13 @@ def daily_payments(payments: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame
     # leading hex digits of the digest spread ids evenly over a day's pages, whatever their type
     digest = F.conv(F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 12), 16, 10)
     page = F.when(F.col("_pages") > 1, F.pmod(digest.cast("bigint"), "_pages")).otherwise(F.lit(0))
+    page_keys = [*keys, "transactions_page"]
+    # ids are collected after the shuffle only: before it, arrays of one or two ids save nothing
     return (
         day.join(paged, keys, "left")
-        .groupBy(*keys, page.cast("int").alias("transactions_page"))
+        .withColumn("transactions_page", page.cast("int"))
+        .repartition(*page_keys)
+        .groupBy(*page_keys)
         .agg(
             F.coalesce(F.max("_total"), F.sum("payment_amount")).alias("daily_total_amount"),
             F.sort_array(F.collect_list("id")).alias("transactions_ids"),
