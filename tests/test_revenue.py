@@ -1,0 +1,189 @@
+import datetime as dt
+import itertools
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.revenue import npl_status, vat_rate
+from ledgerloom.operators import revenue as rev
+from ledgerloom.plans.ranking import ranked
+from ledgerloom.plans.revenue_snapshot import SNAPSHOT_COLUMNS, revenue_snapshot
+from ledgerloom.sources.tables import read_table, write_snapshot
+from tests.seed_frames import at, day
+
+DUE = day("2025-05-01")
+AS_OF = "2025-06-30"
+
+
+@pytest.mark.parametrize("late, expected", [
+    (-5, "PAID_IN_TERM"), (0, "PAID_IN_TERM"), (1, "PAID_IN_60_DAY_DEFAULT"), (60, "PAID_IN_60_DAY_DEFAULT"),
+    (61, "PAID_IN_90_DAY_DEFAULT"), (90, "PAID_IN_90_DAY_DEFAULT"), (91, "PAID_AFTER_WRITE-OFF"), (None, "ACTIVE"),
+])
+def test_paid_buckets(spark, late, expected):
+    last = None if late is None else DUE + dt.timedelta(days=late)
+    row = spark.createDataFrame([("PAID", DUE, last)], "s STRING, due DATE, last DATE").select(
+        npl_status(F.col("s"), F.col("s"), F.col("due"), F.col("last"), F.lit(AS_OF).cast("date")).alias("x")
+    )
+    assert row.first().x == expected
+
+
+def test_ageing_buckets(spark):
+    ages = {-40: "15_DAY_DEFAULT", 15: "15_DAY_DEFAULT", 16: "30_DAY_DEFAULT", 30: "30_DAY_DEFAULT",
+            31: "60_DAY_DEFAULT", 60: "60_DAY_DEFAULT", 61: "90_DAY_DEFAULT", 90: "90_DAY_DEFAULT", 91: "ACTIVE"}
+    rows, expected = [], {}
+    for (age, label), status in itertools.product(ages.items(), ["DEFAULT", "PAUSE", "CANCELED", "WRITE-OFF", "ACTIVE"]):
+        key = f"{age}{status}"
+        rows.append((key, status, day(AS_OF) - dt.timedelta(days=age)))
+        suffix = "" if status == "DEFAULT" else f"_{status}"
+        expected[key] = {"WRITE-OFF": "WRITE-OFF", "ACTIVE": "ACTIVE"}.get(status, "ACTIVE" if age > 90 else label + suffix)
+    got = spark.createDataFrame(rows, "k STRING, s STRING, due DATE").select(
+        "k", npl_status(F.col("s"), F.col("s"), F.col("due"), F.lit(None).cast("date"), F.lit(AS_OF).cast("date")).alias("x")
+    )
+    assert {r.k: r.x for r in got.collect()} == expected
+
+
+def base_rate(country, start, ordinal, kind):
+    """The agreements in words: percent of the fee for a loan paid in term."""
+    regular, refill = "regular" in kind.lower(), "refill" in kind.lower()
+    if not (regular or refill):
+        return 0
+    if start >= day("2024-08-01"):
+        return 7.5 if country in (12, 22, 24) else 0
+    second = start >= day("2023-12-01")
+    if country == 12:
+        if ordinal == 1:
+            return 7.0 if regular else 0
+        return 7.5 if second else 10.0
+    if country == 22 and second:
+        if ordinal == 1:
+            return 5.5 if regular else 0
+        return 6.0
+    return 0
+
+
+def test_fee_share_equals_the_agreements(spark):
+    starts = [day(x) for x in ("2019-01-01", "2023-11-30", "2023-12-01", "2024-07-31", "2024-08-01", "2026-01-01")]
+    kinds = ["REGULAR", "regular", "REFILL", "Refill plus", "OTHER"]
+    lates = {-1: 1.0, 0: 1.0, 1: 0.3, 60: 0.3, 61: 0.15, 90: 0.15, 91: 0, None: 0}
+    rows, expected = [], {}
+    grid = itertools.product([12, 22, 24, 99], starts, [1, 2], kinds, lates, ["PAID", "DEFAULT"])
+    for k, (country, start, ordinal, kind, late, status) in enumerate(grid):
+        due = start + dt.timedelta(days=124)
+        last = None if late is None else due + dt.timedelta(days=late)
+        rows.append((k, country, start, due, last, ordinal, kind, status))
+        expected[k] = round(base_rate(country, start, ordinal, kind) * lates[late], 4) if status == "PAID" else 0
+    df = spark.createDataFrame(
+        rows, "k INT, country_id INT, start_date DATE, due_date DATE, last_collection_date DATE, loan_num INT, "
+        "financing_type STRING, financing_status STRING",
+    )
+    got = {r.k: r.percent_from_fee for r in rev.fee_share(df, rev.rate_table(spark)).collect()}
+    assert got == expected
+
+
+FIN = (
+    "financing_id BIGINT, user_id BIGINT, country_id INT, country_name STRING, offer_id BIGINT, project_name STRING, "
+    "financing_status STRING, financing_type STRING, start_date DATE, due_date DATE, repayment_rate INT, "
+    "disbursed_amount DECIMAL(14,2), interest_amount DECIMAL(14,2), fga_fee DECIMAL(14,2), status STRING, "
+    "total_repayment_amount DECIMAL(14,2), paid_amount DECIMAL(14,2), parent_financing_id BIGINT, "
+    "refill_amount DECIMAL(14,2)"
+)
+
+
+def loan(spark, rows):
+    from decimal import Decimal
+
+    full = []
+    for financing, user, country, status, kind, start in rows:
+        start = day(start)
+        full.append((
+            financing, user, country, f"country_{country}", financing, "P", status, kind, start,
+            start + dt.timedelta(days=124), 15, Decimal("1000.00"), Decimal("100.00"), Decimal("20.00"), status,
+            Decimal("1100.00"), Decimal("1100.00"), None, None,
+        ))
+    return spark.createDataFrame(full, FIN)
+
+
+def snapshot(spark, fin, currency=None, collected=True):
+    ids = [(r.financing_id, r.due_date) for r in fin.collect()]
+    users = spark.createDataFrame([(r.user_id, r.user_id + 7) for r in fin.select("user_id").distinct().collect()],
+                                  "dwh_driver_id BIGINT, driver_id BIGINT")
+    paid = [(i, dt.datetime.combine(d, dt.time(9)), "P") for i, d in ids] if collected else []
+    paid += [(i, dt.datetime.combine(d, dt.time(9)) + dt.timedelta(days=400), "Q") for i, d in ids]
+    repayments = spark.createDataFrame(paid, "financing_id BIGINT, repayment_created_at TIMESTAMP_NTZ, project_name STRING")
+    if currency is None:
+        days = {(d if collected else d - dt.timedelta(days=124)) - dt.timedelta(days=1) for _, d in ids}
+        currency = [(c, d, 2.0) for c in (12, 22, 24) for d in days]
+    rates = spark.createDataFrame(currency, "country_id INT, currency_dt_part DATE, usd_rate DOUBLE")
+    offers = spark.createDataFrame([(1, 200.0)], "offer_id BIGINT, interest_amount DOUBLE")
+    old = spark.createDataFrame([(1, 300.0), (2, 400.0)], "offer_id BIGINT, fixed_fee DOUBLE")
+    return revenue_snapshot(fin, users, offers, old, repayments, rates, AS_OF, "P")
+
+
+def test_snapshot_values(spark):
+    fin = loan(spark, [
+        (1, 5, 24, "PAID", "REGULAR", "2024-09-01"), (2, 5, 24, "PAID", "REGULAR", "2024-09-01"),
+        (3, 5, 24, "PAID", "REFILL", "2024-10-01"), (4, 6, 12, "PAID", "REGULAR", "2023-01-01"),
+        (5, 7, 12, "PAID", "REFILL", "2023-01-01"), (6, 8, 22, "DEFAULT", "REGULAR", "2025-06-01"),
+    ])
+    out = snapshot(spark, fin)
+    assert tuple(out.columns) == SNAPSHOT_COLUMNS
+    rows = {r.financing_id: r for r in out.collect()}
+    assert [(rows[i].loan_num, rows[i].loan_num_status) for i in (1, 2, 3)] == [(1, "FIRST"), (2, "REPEAT"), (3, "REFILL")]
+    # an offer's fee, else the historical one, else nothing; no VAT taken off
+    assert [rows[i].revenue_local for i in (1, 2, 3)] == [200.0 * 0.075, 400.0 * 0.075, None]
+    assert rows[1].revenue_usd == 200.0 * 0.075 / 2
+    assert rows[4].revenue_local == 100.0 * (7.0 / 100) * 100 / 116 and float(rows[4].vat) == 0.16
+    # a first refill before the common agreement earns nothing
+    assert (rows[5].percent_from_fee, rows[5].revenue_local, rows[5].revenue_usd) == (0.0, 0.0, 0.0)
+    assert rows[6].loan_npl_status == "15_DAY_DEFAULT" and rows[6].external_merchant_id == 15
+    assert rows[4].total_repayment_amount_usd == 550.0 and rows[4].fga_rate == 0.02
+    assert rows[4].last_collection_date_to_due_date_days == 0
+
+
+def test_snapshot_without_collection_or_rate(spark):
+    fin = loan(spark, [(1, 5, 12, "PAID", "REGULAR", "2024-09-01")])
+    row = snapshot(spark, fin, collected=False).first()
+    assert row.last_collection_date is None and row.usd_rate_at_last_collection_date == 2.0
+    assert row.loan_npl_status == "ACTIVE" and row.revenue_local == 0.0
+    row = snapshot(spark, fin, currency=[(12, day("1999-01-01"), 1.0)]).first()
+    assert row.usd_rate_at_last_collection_date is None and row.revenue_usd is None and row.revenue_local > 0
+
+
+def test_vat(spark):
+    rows = spark.createDataFrame([(12,), (22,), (24,), (99,)], "c INT").select(vat_rate(F.col("c")).alias("v")).collect()
+    assert [None if r.v is None else str(r.v) for r in rows] == ["0.16", "0.19", "0.18", None]
+
+
+@pytest.mark.parametrize("hot_rows", [0, 5, 10**9])
+def test_ranking_in_cells_equals_the_window(spark, hot_rows):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 700).alias("user_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.xxhash64("id") % 20).cast("int")).alias("start_date"),
+        F.pmod(F.xxhash64("id", F.lit(9)), F.lit(10**9)).alias("financing_id"),
+    )
+    cells = [F.col("start_date"), F.floor(F.col("financing_id") / 10**8)]
+    got = ranked(rows, ["user_id"], ["start_date", "financing_id"], cells, "n", hot_rows)
+    plain = rows.withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("start_date", "financing_id")))
+    assert got.exceptAll(plain).count() == 0 and got.count() == 3000
+
+
+def test_snapshot_write_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, v STRING")
+    write_snapshot(first, path, "2025-06-29")
+    write_snapshot(first, path, "2025-06-30")
+    write_snapshot(first.filter("id = 1"), path, "2025-06-30")
+    rows = read_table(spark, path).collect()
+    assert sorted((r.id, str(r.snap_dt_part)) for r in rows) == [(1, "2025-06-29"), (1, "2025-06-30"), (2, "2025-06-29")]
+    write_snapshot(first.limit(0), path, "2025-06-29")
+    assert [str(r.snap_dt_part) for r in read_table(spark, path).collect()] == ["2025-06-30"]
+    assert read_table(spark, path, "id INT, v STRING").columns[:2] == ["id", "v"]
+
+
+def test_last_collection_takes_the_project_only(spark):
+    rows = spark.createDataFrame(
+        [(1, at("2025-01-01 10:00:00"), "P"), (1, at("2025-01-02 23:59:59"), "P"), (1, at("2025-02-01 00:00:00"), "Q")],
+        "financing_id INT, repayment_created_at TIMESTAMP_NTZ, project_name STRING",
+    )
+    assert [str(r.last_collection_date) for r in rev.last_collection(rows, "P").collect()] == ["2025-01-02"]
