@@ -70,41 +70,17 @@ def _factor(rate: Column, decay: Column) -> Column:
     )
 
 
-def level_payment(principal: Column, rate: Column, n: Column, growth: Column, factor: Column) -> Column:
-    """Payment from ready powers; 0.00 when nothing is owed or no period is left."""
+def annuity(principal: Column, rate: Column, n: Column) -> Column:
+    """Level payment per period at ``rate``, a fraction per period, over ``n`` periods.
+
+    0.00 when nothing is owed or no period is left.
+    """
+    periods = F.greatest(n.cast("int"), F.lit(1))
+    growth = let(_growth_base(rate), lambda base: _power(base, periods, GROWTH))
+    decay = let(_decay_base(rate), lambda base: _power(base, periods, DECAY))
     principal = principal.cast("decimal(14,2)")
     exact = _exact_cents(principal, rate, growth).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")
-    long_term = F.round(principal * factor, 2)
+    long_term = F.round(principal * _factor(rate, decay), 2)
     even = F.round(principal / F.nullif(n, F.lit(0)), 2)
     payment = F.when(rate == 0, even).otherwise(F.coalesce(exact, long_term))
     return F.when((n > 0) & (principal > 0), payment).otherwise(F.lit(0)).cast("decimal(14,2)")
-
-
-def annuity(principal: Column, rate: Column, n: Column) -> Column:
-    """Level payment per period; ``rate`` is a fraction per period."""
-    periods = F.greatest(n.cast("int"), F.lit(1))
-    growth = let(_growth_base(rate), lambda base: _power(base, periods, GROWTH))
-    decay = let(_decay_base(rate), lambda base: _power(base, periods, DECAY))
-    return level_payment(principal, rate, n, growth, _factor(rate, decay))
-
-
-def annuity_powers(rate: Column, n: Column) -> Column:
-    """Array whose element m has the growth and factor over m periods, m = 1..n."""
-    up, down = _growth_base(rate), _decay_base(rate)
-
-    def step(acc: Column, _: Column) -> Column:
-        last = F.element_at(acc, -1)
-        following = F.struct(
-            (last["growth"] * up).try_cast(GROWTH).alias("growth"),
-            (last["decay"] * down).cast(DECAY).alias("decay"),
-        )
-        return F.concat(acc, F.array(following))
-
-    seed = F.array(F.struct(F.lit(1).cast(GROWTH).alias("growth"), F.lit(1).cast(DECAY).alias("decay")))
-    seed = seed.cast(f"array<struct<growth:{GROWTH},decay:{DECAY}>>")
-    periods = F.greatest(n, F.lit(1))
-    powers = F.aggregate(F.sequence(F.lit(1), periods), seed, step)
-    return F.transform(
-        F.slice(powers, 2, periods),
-        lambda p: F.struct(p["growth"].alias("growth"), _factor(rate, p["decay"]).alias("factor")),
-    )

@@ -39,7 +39,9 @@ def roll_one_day(balances: DataFrame, daily: DataFrame) -> DataFrame:
     """The row after each loan's newest one; loans at exactly zero are not rolled.
 
     Only payments of the very next day count, so one on the opening day is never applied. Principal
-    and balance have no floor: an overpaid loan goes negative and keeps rolling.
+    and balance have no floor: an overpaid loan goes negative and keeps rolling. Where every open loan
+    stands at the same day, pass that day's balances and the next day's payments: partition pruning
+    then keeps the rest of both tables unread.
     """
     due = latest_open(balances).withColumn("balance_date", F.date_add("balance_date", 1))
     paid = daily.select("loan_id", F.col("payment_dttm").alias("balance_date"), "daily_total_amount")
@@ -99,6 +101,25 @@ def _running_balances(base: DataFrame, daily: DataFrame, rolls: int) -> DataFram
     )
 
 
+def roll_forward(
+    balances: DataFrame, daily: DataFrame, dt: str | dt_.date, as_of: str | dt_.date
+) -> DataFrame:
+    """The as_of - dt days after each loan's newest row before ``dt``: the new rows only.
+
+    For a stored history this is what to write over the partitions from ``dt`` on.
+    """
+    rolls = (dt_.date.fromisoformat(str(as_of)) - dt_.date.fromisoformat(str(dt))).days
+    base = latest_open(_before(balances, dt))
+    spans = _running_balances(base if rolls > 0 else base.limit(0), daily, rolls)
+    # spans are never empty; the outer form spares a filter that would build each sequence twice
+    days = F.explode_outer(F.sequence("_from", "_to")).alias("balance_date")
+    return spans.select("loan_id", days, *AMOUNTS)
+
+
+def _before(balances: DataFrame, dt: str | dt_.date) -> DataFrame:
+    return balances.filter(F.col("balance_date") < F.lit(str(dt)).cast("date")).select(*BALANCE_COLUMNS)
+
+
 def rebuild_balances(
     balances: DataFrame, daily: DataFrame, dt: str | dt_.date, as_of: str | dt_.date
 ) -> DataFrame:
@@ -108,11 +129,4 @@ def rebuild_balances(
     A loan whose rows are all dropped is not opened again. Opening VAT and interest are taken to be
     non-negative, as the opening operators make them.
     """
-    rolls = (dt_.date.fromisoformat(str(as_of)) - dt_.date.fromisoformat(str(dt))).days
-    kept = balances.filter(F.col("balance_date") < F.lit(str(dt)).cast("date")).select(*BALANCE_COLUMNS)
-    if rolls <= 0:
-        return kept
-    spans = _running_balances(latest_open(kept), daily, rolls)
-    # spans are never empty; the outer form spares a filter that would build each sequence twice
-    days = F.explode_outer(F.sequence("_from", "_to")).alias("balance_date")
-    return kept.unionByName(spans.select("loan_id", days, *AMOUNTS))
+    return _before(balances, dt).unionByName(roll_forward(balances, daily, dt, as_of))

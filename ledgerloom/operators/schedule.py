@@ -7,7 +7,7 @@ import datetime as dt_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.annuity import RATE, annuity, annuity_powers, level_payment
+from ledgerloom.functions.annuity import RATE, annuity
 from ledgerloom.functions.arith import let, money
 
 ROW = (
@@ -165,10 +165,8 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
 
     def projected(acc: Column, i: Column, interest: Column) -> Column:
         left = term - i + 1
-        power = F.element_at(F.col("_powers"), left)
-        fresh = level_payment(acc["balance"], rate, left, power["growth"], power["factor"])
         return let(
-            F.when(acc["projecting"], acc["level"]).otherwise(fresh),
+            F.when(acc["projecting"], acc["level"]).otherwise(annuity(acc["balance"], rate, left)),
             lambda level: let(
                 money(
                     F.when(acc["balance"] <= 0, F.lit(0))
@@ -213,7 +211,6 @@ def recalculate_schedule(loans: DataFrame, payments: DataFrame, schedules: DataF
     folded = (
         _paid_by_period(needed, payments)
         .withColumn("_rate", _rate(F.col("interest_rate")))
-        .withColumn("_powers", annuity_powers(rate, term))
         .withColumn("_rows", F.aggregate(_numbers(term), seed, step, lambda acc: acc["rows"]))
         .select("id", "_rows")
         .join(newest_version(schedules).withColumnRenamed("loan_id", "id"), "id", "left")
