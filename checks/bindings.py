@@ -235,7 +235,7 @@ class Bindings:
         )
 
     def currency(self) -> DataFrame:
-        """A rate per country and day, with a day missing now and then."""
+        """A rate per country and day; none on New Year's Day."""
         number = F.datediff("currency_dt_part", F.lit("1970-01-01").cast("date"))
         return (
             _values(self.spark, "(12), (22), (24), (99)", "country_id")
@@ -243,7 +243,7 @@ class Bindings:
                 "currency_dt_part",
                 F.explode(F.sequence(F.lit("2019-08-01").cast("date"), F.lit("2027-01-01").cast("date"))),
             )
-            .filter(number % 97 != 0)
+            .filter(F.date_format("currency_dt_part", "MM-dd") != "01-01")
             .withColumn("usd_rate", ((number * 7 + F.col("country_id")) % 100 + 100).cast("double") / F.lit(100.0))
         )
 
@@ -265,7 +265,7 @@ class Bindings:
         return self.table("part").select(
             F.col("p_partkey").alias("field_id"),
             F.concat_ws("#", "p_name", "p_partkey").alias("field_name"),
-            (F.col("p_size") % 10 != 0).alias("is_active"),
+            (F.col("p_size") > 5).alias("is_active"),
         )
 
     def product_windows(self) -> DataFrame:

@@ -206,7 +206,7 @@ def cut_payments(b: Bindings) -> DataFrame:
 
 @query
 def report_slice(b: Bindings) -> DataFrame:
-    return accrual.report_slice(daily_accrual(b), ONE_LOAN, REPORT_END).drop("transactions_ids")
+    return accrual.report_slice(daily_accrual(b), LADDER_DAY).drop("transactions_ids")
 
 
 @query
@@ -216,7 +216,7 @@ def balance_slice(b: Bindings) -> DataFrame:
 
 @query
 def payment_slice(b: Bindings) -> DataFrame:
-    return accrual.payment_slice(b.payments(), ONE_LOAN, CUT_FROM)
+    return accrual.payment_slice(b.payments(), CUT_FROM)
 
 
 @query

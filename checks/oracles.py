@@ -250,7 +250,7 @@ _FORM = """
            CAST(row_number() OVER (PARTITION BY pw.product_id ORDER BY pw.window_order, f.p_partkey) AS INT)
                AS overall_order
     FROM (SELECT p_brand AS product_id, p_type AS window_id, min(p_partkey) AS window_order FROM part GROUP BY ALL) pw
-    JOIN (SELECT p_type, p_partkey, concat_ws('#', p_name, p_partkey) AS field_name FROM part WHERE p_size % 10 <> 0) f
+    JOIN (SELECT p_type, p_partkey, concat_ws('#', p_name, p_partkey) AS field_name FROM part WHERE p_size > 5) f
       ON f.p_type = pw.window_id
     WHERE {where}"""
 
@@ -353,10 +353,10 @@ def _oracles() -> dict[str, str]:
         ),
         "report_slice": f"""
             SELECT * EXCLUDE (transactions_ids) FROM ({_flagship()})
-            WHERE loan_id = {c.ONE_LOAN} AND report_dt <= {_date(c.REPORT_END)}""",
+            WHERE report_dt <= {_date(c.LADDER_DAY)}""",
         "balance_slice": with_ctes(f"SELECT {BALANCE} FROM policy_balances"),
         "payment_slice": with_ctes(
-            f"SELECT * FROM payments WHERE loan_id = {c.ONE_LOAN} AND payment_dttm >= {_date(c.CUT_FROM)}"
+            f"SELECT * FROM payments WHERE payment_dttm >= {_date(c.CUT_FROM)}"
         ),
         "active_offers": with_ctes("SELECT * FROM offers WHERE status = 'ACTIVE'"),
         "annuity_payment": with_ctes(

@@ -80,7 +80,7 @@ def test_delinquency_report(spark):
     report = accrual.daily_accrual(*args, payments.daily_payments(paid), history)
     rows = {
         str(r.report_dt): (r.open_principal, r.open_interest, r.open_vat, r.loan_balance, r.collection_status, r.dpd_status)
-        for r in accrual.report_slice(report, 3001, "2025-03-30").collect()
+        for r in accrual.report_slice(report, "2025-03-30", 3001).collect()
     }
     expected = {
         "2025-03-17": (16000, 2174, 348, 18522, "OK", "OK"),
@@ -227,7 +227,7 @@ def test_hot_loan_day_is_paged(spark):
 
 def test_slices_and_offers(spark):
     paid = seed.payments(spark, seed.WALKTHROUGH)
-    newest = accrual.payment_slice(paid, 3001, "2025-03-20").collect()
+    newest = accrual.payment_slice(paid, "2025-03-20", 3001).collect()
     assert [r.id for r in newest] == [4109, 4108, 4107]
     assert [r.id for r in accrual.active_offers(seed.offers(spark)).collect()] == [7001]
     assert accrual.balance_slice(seed.old_balances(spark), 3004).count() == 1
