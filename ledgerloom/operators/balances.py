@@ -11,6 +11,12 @@ AMOUNTS = ("open_principal", "open_interest", "open_vat", "loan_balance")
 BALANCE_COLUMNS = ("loan_id", "balance_date", *AMOUNTS)
 
 
+def _amount_by_day(daily: DataFrame, day: str, amount: str) -> DataFrame:
+    if "transactions_page" in daily.columns:
+        raise ValueError("pass daily_totals: daily_payments repeats a day's total on each page of ids")
+    return daily.select("loan_id", F.col("payment_dttm").alias(day), F.col("daily_total_amount").alias(amount))
+
+
 def latest_open(balances: DataFrame) -> DataFrame:
     """Newest row per loan, without loans that stand at exactly zero.
 
@@ -44,8 +50,8 @@ def roll_one_day(balances: DataFrame, daily: DataFrame) -> DataFrame:
     then keeps the rest of both tables unread.
     """
     due = latest_open(balances).withColumn("balance_date", F.date_add("balance_date", 1))
-    paid = daily.select("loan_id", F.col("payment_dttm").alias("balance_date"), "daily_total_amount")
-    amount = F.col("daily_total_amount")
+    paid = _amount_by_day(daily, "balance_date", "_amount")
+    amount = F.col("_amount")
     spill = F.greatest(amount - F.col("open_vat"), F.lit(0))
     rolled = {c: F.when(amount.isNull(), F.col(c)).otherwise(e) for c, e in _after(amount, spill).items()}
     return due.join(paid, ["loan_id", "balance_date"], "left").withColumns(rolled).select(*BALANCE_COLUMNS)
@@ -60,9 +66,7 @@ def _running_balances(base: DataFrame, daily: DataFrame, rolls: int) -> DataFram
     per loan, over its payment days only; days without payment are filled in afterwards, unshuffled.
     """
     base = base.withColumnRenamed("balance_date", "_base").withColumn("_last", F.date_add("_base", rolls))
-    paid = daily.select(
-        F.col("loan_id"), F.col("payment_dttm").alias("_day"), F.col("daily_total_amount").alias("_amount")
-    )
+    paid = _amount_by_day(daily, "_day", "_amount")
     in_reach = (F.col("_day") > F.col("_base")) & (F.col("_day") <= F.col("_last"))
     by_day = Window.partitionBy("loan_id").orderBy("_day")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)

@@ -225,6 +225,13 @@ def test_hot_loan_day_is_paged(spark):
     assert len(whole) == 1 and whole[0].transactions_ids == list(range(500))
 
 
+def test_pages_are_refused_where_they_would_count_twice(spark):
+    paged = payments.daily_payments(seed.payments(spark, seed.WALKTHROUGH))
+    for use in (balances.roll_one_day, lambda h, d: balances.rebuild_balances(h, d, "2025-03-18", "2025-03-20")):
+        with pytest.raises(ValueError):
+            use(opened(spark, "flat"), paged)
+
+
 def test_slices_and_offers(spark):
     paid = seed.payments(spark, seed.WALKTHROUGH)
     newest = accrual.payment_slice(paid, "2025-03-20", 3001).collect()

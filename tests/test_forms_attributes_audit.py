@@ -40,6 +40,7 @@ def test_form_fields(spark, hot_rows):
 
 
 def test_application_walk(spark):
+    # The seed application's steps, then two made-up ones
     patches = [
         (1, 1, None, None, "IN_PROGRESS"),
         (1, 2, None, 1, None),

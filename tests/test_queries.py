@@ -26,6 +26,26 @@ def test_query_equals_sql(spark, con, name):
     assert compare(mine, con.sql(ORACLES[name]).to_arrow_table()) == ""
 
 
+@pytest.mark.parametrize("name", ["daily_accrual", "rebuild_payments", "revenue_snapshot_day", "ingest_attributes"])
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Mexico_City")
+    try:
+        assert compare(QUERIES[name](spark, SF).toArrow(), con.sql(ORACLES[name]).to_arrow_table()) == ""
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("name", ["daily_accrual", "revenue_snapshot_day", "form_fields", "attributes_with_expiry"])
+def test_queries_run_when_nothing_is_small_enough_to_broadcast(spark, con, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastNestedLoopJoin" not in plan(spark, name)
+        assert compare(QUERIES[name](spark, SF).toArrow(), con.sql(ORACLES[name]).to_arrow_table()) == ""
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def plan(spark, name):
     return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
