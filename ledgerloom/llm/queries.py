@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import langid, mixing, packing, simhash, substring
+from ledgerloom.llm import caps, langid, mixing, packing, quality_pu, quality_rules, simhash, substring, toxicity
 from ledgerloom.llm.common import remainder
 
 
@@ -28,6 +28,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.predict(docs, langid.learn(langid.learning_rows(docs)))
@@ -39,8 +44,26 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).withColumn("n_removed", F.size("removed"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_pu.score(docs, quality_pu.learn(docs, _table(spark, sf_dir, "labels")))
+    return found.withColumn("held_out", remainder() == 0)
+
+
+def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs, quality_rules.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_mixing, op4_packing, op6_language, op7_substring)}
+    return {f.__name__: f for f in (
+        op2_simhash, op3_mixing, op4_packing, op5_toxicity, op6_language, op7_substring, op8_embeddings,
+        op9_quality, op10_rules,
+    )}
 
 
 def oracles() -> dict[str, str]:
