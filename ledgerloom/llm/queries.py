@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import caps, langid, mixing, packing, quality_pu, quality_rules, simhash, substring, toxicity
+from ledgerloom.llm import caps, hpylm, langid, mixing, packing, quality_pu, quality_rules, simhash, substring, toxicity
 from ledgerloom.llm.common import remainder
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.log_likelihood(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -61,7 +65,7 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_simhash, op3_mixing, op4_packing, op5_toxicity, op6_language, op7_substring, op8_embeddings,
+        op1_pitman_yor, op2_simhash, op3_mixing, op4_packing, op5_toxicity, op6_language, op7_substring, op8_embeddings,
         op9_quality, op10_rules,
     )}
 
