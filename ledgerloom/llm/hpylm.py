@@ -4,27 +4,35 @@ Every previous word has a restaurant whose tables are customers of one shared pa
 words, over a uniform base. Documents are dealt to chunks; a chunk holds the distinct words and pairs of its
 documents as sorted hashes and asks for their counts, part by part of the hash range. A message is one row for
 a chunk and a part with columns of bytes, so what moves is the distinct words and pairs, not the tokens.
+Documents move as compressed bundles.
 """
 
 from __future__ import annotations
 
+import functools
+import gc
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import key_type, remainder, saved, spread
 
-END = xxhash.xxh64_intdigest(b"")
-START = xxhash.xxh64_intdigest(b" ")
+# No word is empty or a space: they stand for the end of a text and for what comes before its first word.
+END, START = b"", b" "
+START_KEY = np.uint64(xxhash.xxh64_intdigest(START))
 LEAST_CHUNKS = 32
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 8_000_000
+# A pair's key has this many bits more than the corpus has bytes: about one pair in a million shares its key.
+SPARE_BITS = 20
 # A dish with more customers than this is seated in sections of so many, all alike.
 SECTION = 256
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -38,6 +46,7 @@ class Model:
     """What all tasks know: sizes of the corpus, discounts, and of each round the root's customers and tables."""
 
     bits: int
+    key_bits: int = 64
     tokens: int = 0
     distinct: int = 0
     discount: float = 0.5
@@ -64,8 +73,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mixed(_mixed(before) * np.uint64(3) + word)
+def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    return _mixed(_mixed(before) * np.uint64(3) + word) >> np.uint64(64 - bits) << np.uint64(64 - bits)
 
 
 _STIRLING: dict[float, np.ndarray] = {}
@@ -126,6 +135,19 @@ def unpacked(data: bytes | None, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data or b"", dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _counted(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts, most of them one, as a bit for those and the other numbers."""
+    one = counts == 1
+    return np.packbits(one).tobytes(), packed(counts[~one].astype(np.int64))
+
+
+def _uncounted(ones: bytes, rest: bytes, n: int) -> np.ndarray:
+    one = np.unpackbits(np.frombuffer(ones, dtype=np.uint8), count=n).astype(bool)
+    counts = np.ones(n, dtype=np.int64)
+    counts[~one] = unpacked(rest, np.int64)
+    return counts
+
+
 def _row(chunk: int, part: int, kind: str, *xs: bytes, stats: tuple[int, ...] = (0, 0, 0, 0)) -> tuple:
     return (chunk, part, kind, *xs, *[None] * (4 - len(xs)), *[int(s) for s in stats])
 
@@ -152,84 +174,142 @@ def _cuts(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
         yield from zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)])
 
 
-def word_keys(text: str | None) -> list[int]:
-    """Hashes of a text's words and of its end."""
-    data = (text or "").encode().lower()
-    digest, keys, at = xxhash.xxh64_intdigest, [], 0
+def words_of(data: bytes) -> Iterator[list[bytes]]:
+    """Words of a lower-cased text, some at a time."""
+    at = 0
     while at < len(data):
         cut = _SPACE.search(data, at + _SLICE) if len(data) - at > _SLICE else None
         stop = cut.start() if cut else len(data)
-        keys += [digest(w) for w in data[at:stop].split()]
+        yield data[at:stop].split()
         at = stop + 1
-    keys.append(END)
-    return keys
+
+
+def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a batch that go to one chunk as one row, their lower-cased texts compressed together."""
+    shrink = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        order = np.argsort(batch.column(3).to_numpy(), kind="stable")
+        chunk = batch.column(3).to_numpy()[order]
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)])) if len(chunk) else [0]
+        names, learn, sizes, blobs = [], [], [], []
+        for a, b in zip(cuts, cuts[1:]):
+            at = pa.array(order[a:b])
+            texts = [(t or "").encode().lower() for t in batch.column(1).take(at).to_pylist()]
+            names.append(batch.column(0).take(at).to_pylist())
+            learn.append(batch.column(2).take(at).to_pylist())
+            sizes.append([len(t) for t in texts])
+            blobs.append(shrink.compress(b"".join(texts)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(chunk[cuts[:-1]], pa.int32()), pa.array(names, pa.list_(batch.column(0).type)),
+             pa.array(learn, pa.list_(pa.bool_())), pa.array(sizes, pa.list_(pa.int32())), pa.array(blobs, pa.binary())],
+            names=["chunk", "names", "learn", "sizes", "blob"],
+        )
 
 
 class Chunk:
     """Words and pairs of a chunk's documents: sorted distinct keys, and for each token the place among them."""
 
-    def __init__(self, docs: pa.Table):
-        texts = [np.array(word_keys(t.as_py()), dtype=np.uint64) for t in docs["text"].combine_chunks()]
-        self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    def __init__(self, bundles: pa.Table, model: Model):
+        index: defaultdict[bytes, int] = defaultdict()
+        index.default_factory = index.__len__
+        start, end = index[START], index[END]
+        expand, tokens, sizes = zstandard.ZstdDecompressor(), [], []
+        for lengths, blob in zip(bundles["sizes"].to_pylist(), bundles["blob"]):
+            data, at = expand.decompress(blob.as_py()), 0
+            for length in lengths:
+                n = 1
+                for ws in words_of(data[at : at + length]):
+                    tokens.append(np.fromiter(map(index.__getitem__, ws), dtype=np.int32, count=len(ws)))
+                    n += len(ws)
+                tokens.append(np.array([end], dtype=np.int32))
+                sizes.append(n)
+                at += length
+        token = np.concatenate(tokens)
+        del tokens
+        self.sizes = np.array(sizes, dtype=np.int64)
         self.ends = np.cumsum(self.sizes)
-        token = np.concatenate(texts)
-        before = np.concatenate((np.array([START], dtype=np.uint64), token[:-1]))
-        before[self.ends[:-1]] = START
-        self.learn = np.repeat(docs["learn"].to_numpy(), self.sizes)
-        self.n_learn = int(docs["learn"].to_numpy().sum())
-        self.words, at = np.unique(np.concatenate((token, before)), return_inverse=True)
-        self.word, self.before = at[: len(token)].astype(np.int32), at[len(token) :].astype(np.int32)
-        self.pairs, pair = np.unique(pair_keys(before, token), return_inverse=True)
+        before = np.concatenate((np.array([start], dtype=np.int32), token[:-1]))
+        before[self.ends[:-1]] = start
+        learn = np.array([x for some in bundles["learn"].to_pylist() for x in some], dtype=bool)
+        self.doc_learn, self.learn, self.n_learn = learn, np.repeat(learn, self.sizes), int(learn.sum())
+        digest = xxhash.xxh64_intdigest
+        keys = np.fromiter((digest(w) for w in index), dtype=np.uint64, count=len(index))
+        del index
+        order = np.argsort(keys)
+        place = np.empty(len(keys), dtype=np.int32)
+        place[order] = np.arange(len(keys), dtype=np.int32)
+        self.words, self.word, self.before = keys[order], place[token], place[before]
+        self.key = pair_keys(keys[before], keys[token], model.key_bits)
+
+    def with_pairs(self) -> Chunk:
+        self.pairs, pair = np.unique(self.key, return_inverse=True)
         self.pair = pair.astype(np.int32)
+        del self.key
+        return self
 
     def word_counts(self) -> np.ndarray:
         counts = np.bincount(self.word[self.learn], minlength=len(self.words))
-        counts[np.searchsorted(self.words, np.uint64(START))] = self.n_learn
+        counts[np.searchsorted(self.words, START_KEY)] = self.n_learn
         return counts
 
-    def pair_counts(self) -> np.ndarray:
-        return np.bincount(self.pair[self.learn], minlength=len(self.pairs))
+    def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pair keys and how often each is learned here."""
+        keys = np.unique(self.key)
+        learned, n = np.unique(self.key[self.learn], return_counts=True)
+        counts = np.zeros(len(keys), dtype=np.int64)
+        counts[np.searchsorted(keys, learned)] = n
+        return keys, counts
 
 
-def _ask(bits: int):
+def _ask(model: Model):
     """A chunk's questions: its words ('w') and pairs ('p') by part, with its own counts of learned ones."""
 
-    def run(docs: pa.Table) -> pa.Table:
-        chunk, number = Chunk(docs), docs["chunk"][0].as_py()
+    def run(bundles: pa.Table) -> pa.Table:
+        chunk, number = Chunk(bundles, model), bundles["chunk"][0].as_py()
         rows = []
-        for kind, keys, counts in (("w", chunk.words, chunk.word_counts()), ("p", chunk.pairs, chunk.pair_counts())):
-            for part, a, b in _cuts(keys, bits):
-                rows.append(_row(number, part, kind, packed(keys[a:b]), packed(counts[a:b].astype(np.int64))))
+        for kind, keys, counts in (("w", chunk.words, chunk.word_counts()), ("p", *chunk.pair_counts())):
+            for part, a, b in _cuts(keys, model.bits):
+                rows.append(_row(number, part, kind, packed(keys[a:b]), *_counted(counts[a:b])))
         return _messages(rows)
 
     return run
 
 
 def _total(asked: pa.Table) -> pa.Table:
-    """Answers of one part: counts over all chunks, doubled, plus one in the first chunk that learned the key.
+    """Answers of one part: counts over all chunks, and a bit in the first chunk that learned the key.
 
     Statistics: distinct keys, keys counted once and twice, and the sum; the start mark is no word.
     """
     rows = sorted(asked.to_pylist(), key=lambda r: r["chunk"])
     sizes = [len(r["x0"]) // 8 for r in rows]
-    keys, own = _joined(rows, "x0", np.uint64), _joined(rows, "x1", np.int64)
+    keys = _joined(rows, "x0", np.uint64)
+    own = np.concatenate([_uncounted(r["x1"], r["x2"], n) for r, n in zip(rows, sizes)])
     found, at = np.unique(keys, return_inverse=True)
-    total = np.zeros(len(found), dtype=np.int64)
-    np.add.at(total, at, own)
+    total = np.bincount(at, weights=own, minlength=len(found)).astype(np.int64)
     learned = np.flatnonzero(own > 0)
-    first = learned[np.unique(at[learned], return_index=True)[1]]
-    answer = 2 * total[at]
-    answer[first] += 1
-    counted = total[(found != START) & (total > 0)] if rows[0]["kind"] == "w" else total[total > 0]
+    first = np.zeros(len(keys), dtype=bool)
+    first[learned[np.unique(at[learned], return_index=True)[1]]] = True
+    counted = total[(found != START_KEY) & (total > 0)] if rows[0]["kind"] == "w" else total[total > 0]
     stats = (len(counted), (counted == 1).sum(), (counted == 2).sum(), counted.sum())
-    ends = np.cumsum(sizes)
+    answer, ends = total[at], np.cumsum(sizes)
     return _messages([
-        _row(r["chunk"], r["part"], r["kind"], packed(answer[e - n : e]), stats=stats if i == 0 else (0, 0, 0, 0))
+        _row(
+            r["chunk"], r["part"], r["kind"], *_counted(answer[e - n : e]), np.packbits(first[e - n : e]).tobytes(),
+            packed(np.array([n], dtype=np.int64)), stats=stats if i == 0 else (0, 0, 0, 0),
+        )
         for i, (r, n, e) in enumerate(zip(rows, sizes, ends))
     ])
 
 
-def _settle(bits: int):
+def _totals(answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and first-seen bits of a chunk's keys, parts end to end."""
+    sizes = [int(unpacked(r["x3"], np.int64)[0]) for r in answers]
+    counts = [_uncounted(r["x0"], r["x1"], n) for r, n in zip(answers, sizes)]
+    first = [np.unpackbits(np.frombuffer(r["x2"], dtype=np.uint8), count=n).astype(bool) for r, n in zip(answers, sizes)]
+    return np.concatenate(counts), np.concatenate(first)
+
+
+def _settle(model: Model):
     """What a chunk keeps once counts are known.
 
     'words' by part: keys, pairs seen first here that end with the word, that begin with it, counts.
@@ -237,29 +317,28 @@ def _settle(bits: int):
     'pairs': counts of all pairs. Statistics of words and pairs are passed on in 'ws' and 'ps'.
     """
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(bundles: pa.Table, answers: pa.Table) -> pa.Table:
         number, rows = answers["chunk"][0].as_py(), []
-        for kind in ("w", "p"):
-            got = _of(answers, kind)
-            rows.append(_row(number, -1, kind + "s", stats=tuple(sum(r[f"s{k}"] for r in got) for k in range(4))))
-        chunk = Chunk(docs)
-        count = _joined(_of(answers, "w"), "x0", np.int64) >> 1
-        answer = _joined(_of(answers, "p"), "x0", np.int64)
-        pair_count, first = answer >> 1, (answer & 1).astype(bool)
+        got = {kind: _of(answers, kind) for kind in ("w", "p")}
+        for kind, some in got.items():
+            rows.append(_row(number, -1, kind + "s", stats=tuple(sum(r[f"s{k}"] for r in some) for k in range(4))))
+        chunk = Chunk(bundles, model).with_pairs()
+        count, _ = _totals(got["w"])
+        pair_count, first = _totals(got["p"])
         u, w = np.zeros(len(chunk.pairs), dtype=np.int32), np.zeros(len(chunk.pairs), dtype=np.int32)
         u[chunk.pair], w[chunk.pair] = chunk.before, chunk.word
         ending = np.bincount(w[first], minlength=len(count)).astype(np.int32)
         beginning = np.bincount(u[first], minlength=len(count)).astype(np.int32)
-        for part, a, b in _cuts(chunk.words, bits):
+        for part, a, b in _cuts(chunk.words, model.bits):
             columns = (chunk.words[a:b], ending[a:b], beginning[a:b], count[a:b])
             rows.append(_row(number, part, "words", *map(packed, columns)))
         shared = first & (pair_count > 1)
         named, place = np.unique(np.concatenate((u[shared], w[shared])), return_inverse=True)
         place, n = place.astype(np.int32), int(shared.sum())
         rows.append(_row(number, -1, "cells", packed(place[:n]), packed(place[n:]), packed(pair_count[shared])))
-        for part, a, b in _cuts(chunk.words[named], bits):
+        for part, a, b in _cuts(chunk.words[named], model.bits):
             rows.append(_row(number, part, "asks", packed(chunk.words[named][a:b])))
-        rows.append(_row(number, -1, "pairs", packed(pair_count)))
+        rows.append(_row(number, -1, "pairs", *_counted(pair_count)))
         return _messages(rows)
 
     return run
@@ -282,9 +361,9 @@ def _state(part: int, kind: str, keys, m, t, u) -> pa.Table:
     return _messages([_row(-1, part, kind, packed(keys), packed(m), packed(t), packed(u), stats=stats)])
 
 
-def _looked_up(asked: pa.Table, state: pa.Table, kind: str) -> list[tuple]:
+def _looked_up(asked: pa.Table, state: pa.Table, of: str, kind: str) -> list[tuple]:
     """For each chunk's keys: customers, root tables and own tables; zero where never learned."""
-    (now,) = _of(state, "state") or [None]
+    (now,) = _of(state, of) or [None]
     if now is None:
         return []
     keys = unpacked(now["x0"], np.uint64)
@@ -309,7 +388,7 @@ def _seat(model: Model, nth: int):
         m, t, u = (_joined(_of(answers, "answer"), x, np.int64) for x in ("x0", "x1", "x2"))
         before, word = unpacked(cells[0]["x0"], np.int32), unpacked(cells[0]["x1"], np.int32)
         c = unpacked(cells[0]["x2"], np.int64)
-        drawn = model.draw(pair_keys(keys[before], keys[word]), c, model.root(m, t, nth - 1)[word], u[before], nth) - 1
+        drawn = model.draw(pair_keys(keys[before], keys[word], model.key_bits), c, model.root(m, t, nth - 1)[word], u[before], nth) - 1
         more = [np.bincount(at, drawn, minlength=len(keys)).astype(np.int64) for at in (word, before)]
         number = cells[0]["chunk"]
         return _messages([
@@ -337,31 +416,40 @@ def _reseat(model: Model, nth: int):
         strength = np.full(len(m), model.strength + model.root_discount * max(model.tables[nth - 1] - 1, 0))
         t = tables(keys + np.uint64(nth), m, base, strength, model.root_discount)
         state = _state(first[0]["part"], "state", keys, m, t, u)
-        answers = _messages(_looked_up(more, state, "answer"))
+        answers = _messages(_looked_up(more, state, "state", "answer"))
         return pa.concat_tables([state, answers])
 
     return run
 
 
-def _answer(asked: pa.Table, state: pa.Table) -> pa.Table:
-    return _messages(_looked_up(asked, state, "answer"))
+def _answer(kinds: dict[str, str]):
+    """Answers from the states of each kind, under the name it maps to."""
+
+    def run(asked: pa.Table, states: pa.Table) -> pa.Table:
+        return _messages([row for of, kind in kinds.items() for row in _looked_up(asked, states, of, kind)])
+
+    return run
 
 
 def _score(model: Model, key: str, burn: int):
     """Scores of a chunk's documents: log10 of the predictive probabilities averaged over the kept rounds."""
     rounds = len(model.tables) - 1
 
-    def run(docs: pa.Table, kept: pa.Table) -> pa.Table:
-        chunk = Chunk(docs)
+    def run(bundles: pa.Table, kept: pa.Table) -> pa.Table:
+        chunk = Chunk(bundles, model).with_pairs()
         count = _joined(_of(kept, "words"), "x3", np.int64)
-        c = _joined(_of(kept, "pairs"), "x0", np.int64)
+        (some,) = _of(kept, "pairs")
+        c = _uncounted(some["x0"], some["x1"], len(chunk.pairs))
         u, w = np.zeros(len(c), dtype=np.int32), np.zeros(len(c), dtype=np.int32)
         u[chunk.pair], w[chunk.pair] = chunk.before, chunk.word
-        states = [[_joined(_of(kept, f"answer{r}"), x, np.int64) for x in ("x0", "x1", "x2")] for r in range(rounds + 1)]
-        states = [[x if len(x) else np.zeros(len(count), dtype=np.int64) for x in s] for s in states]
-        total = np.zeros(len(c))
+
+        def state(r: int) -> list[np.ndarray]:
+            found = [_joined(_of(kept, f"answer{r}"), x, np.int64) for x in ("x0", "x1", "x2")]
+            return [x if len(x) else np.zeros(len(count), dtype=np.int64) for x in found]
+
+        total, (m0, t0, u0) = np.zeros(len(c)), state(burn)
         for r in range(burn + 1, rounds + 1):
-            (m0, t0, u0), (m, t, tables_of) = states[r - 1], states[r]
+            m, t, tables_of = state(r)
             drawn = np.minimum(c, 1)
             many = c > 1
             drawn[many] = model.draw(chunk.pairs[many], c[many], model.root(m0, t0, r - 1)[w[many]], u0[u[many]], r)
@@ -369,13 +457,15 @@ def _score(model: Model, key: str, burn: int):
             spare = (model.strength + model.discount * tables_of[u]) / customers
             spare = np.where(count[u] > 0, spare, 1.0)
             total += np.maximum(c - model.discount * drawn, 0) / customers + spare * model.root(m, t, r)[w]
+            m0, t0, u0 = m, t, tables_of
         by_pair = np.log10(total / max(1, rounds - burn))
-        count[np.searchsorted(chunk.words, np.uint64(START))] = 0
+        count[np.searchsorted(chunk.words, START_KEY)] = 0
         by_word = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
         starts = chunk.ends - chunk.sizes
         add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every document has a token
         return pa.table(
-            [docs[key], pa.array(~docs["learn"].to_numpy()), pa.array(chunk.sizes),
+            [pa.array([x for some in bundles["names"].to_pylist() for x in some], bundles["names"].type.value_type),
+             pa.array(~chunk.doc_learn), pa.array(chunk.sizes),
              pa.array(add((count > 0).astype(np.int64)[chunk.word])),
              pa.array(np.full(len(starts), model.tokens, dtype=np.int64)),
              pa.array(np.round(add(by_word[chunk.word]), 6)), pa.array(np.round(add(by_pair[chunk.pair]), 6))],
@@ -390,6 +480,12 @@ def _stats(rows: DataFrame, kind: str) -> list[int]:
     return [int(x or 0) for x in found]
 
 
+def _release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps now, which it does once their plans are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
@@ -414,17 +510,28 @@ def log_likelihood(
         raise ValueError("at least one round must follow the burn-in")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(LEAST_CHUNKS, math.ceil(size / chunk_bytes))
-    model = Model(bits=max(6, math.ceil(math.log2(chunks))), strength=strength)
-    rows = docs.select(
-        key, "text", (remainder(key) != held_out).alias("learn"), (spread(key, "text") % chunks).cast("int").alias("chunk")
+    model = Model(
+        bits=max(6, math.ceil(math.log2(chunks))), key_bits=min(64, max(40, SPARE_BITS + math.ceil(math.log2(size + 1)))),
+        strength=strength,
     )
+    kind = key_type(docs, key)
+
+    def rows() -> DataFrame:
+        dealt = docs.select(
+            key, "text", (remainder(key) != held_out).alias("learn"),
+            (spread(key, "text") % chunks).cast("int").alias("chunk"),
+        )
+        return dealt.mapInArrow(
+            _bundle, f"chunk int, names array<{kind}>, learn array<boolean>, sizes array<int>, blob binary"
+        ).groupBy("chunk")
+
+    bundles = rows()
     answers = (
-        rows.groupBy("chunk").applyInArrow(_ask(model.bits), MESSAGE)
-        .groupBy("part", "kind").applyInArrow(_total, MESSAGE)
-    )
-    kept = saved(
-        rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_settle(model.bits), MESSAGE)
+        bundles.applyInArrow(_ask(model), MESSAGE).groupBy("part", "kind").applyInArrow(_total, MESSAGE)
     )
+    kept = saved(bundles.cogroup(answers.groupBy("chunk")).applyInArrow(_settle(model), MESSAGE))
+    del bundles, answers
+    _release(docs.sparkSession)
     distinct, _, _, tokens = _stats(kept, "ws")
     _, once, twice, _ = _stats(kept, "ps")
     model = replace(model, tokens=tokens, distinct=distinct, discount=_discount(once, twice))
@@ -440,7 +547,9 @@ def log_likelihood(
     model = replace(
         model, root_discount=_discount(once, twice), customers=(customers,), tables=(root_tables,)
     )
-    answered = by("asks").groupBy("part").cogroup(opened.groupBy("part")).applyInArrow(_answer, MESSAGE)
+    answered = by("asks").groupBy("part").cogroup(opened.groupBy("part")).applyInArrow(
+        _answer({"state": "answer"}), MESSAGE
+    )
     states = [opened]
     for nth in range(1, rounds + 1):
         more = (
@@ -452,16 +561,19 @@ def log_likelihood(
         model = replace(model, customers=(*model.customers, customers), tables=(*model.tables, root_tables))
         states.append(state(table))
         answered = table.filter("kind = 'answer'")
-    final = by(["words", "pairs"])
-    for nth in range(burn, rounds + 1):
-        asked = by("words").select(*[c if c in ("chunk", "part", "kind", "x0") else F.lit(None).cast(
-            "bigint" if c[0] == "s" else "binary").alias(c) for c in _FIELDS])
-        found = asked.groupBy("part").cogroup(states[nth].groupBy("part")).applyInArrow(_answer, MESSAGE)
-        final = final.unionByName(found.withColumn("kind", F.lit(f"answer{nth}")))
-    kind = key_type(docs, key)
+        _release(docs.sparkSession)
+    past = functools.reduce(DataFrame.unionByName, [
+        states[nth].withColumn("kind", F.lit(f"state{nth}")) for nth in range(burn, rounds + 1)
+    ])
+    none = {x: F.lit(None).cast("binary").alias(x) for x in ("x1", "x2", "x3")}
+    asked = by("words").select(*[none.get(c, F.col(c)) for c in _FIELDS])
+    found = asked.groupBy("part").cogroup(past.groupBy("part")).applyInArrow(
+        _answer({f"state{nth}": f"answer{nth}" for nth in range(burn, rounds + 1)}), MESSAGE
+    )
+    counts = by(["words", "pairs"]).withColumn("x0", F.when(F.col("kind") == "pairs", F.col("x0")))
     schema = (
         f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double"
     )
-    scored = rows.groupBy("chunk").cogroup(final.groupBy("chunk")).applyInArrow(_score(model, key, burn), schema)
+    scored = rows().cogroup(counts.unionByName(found).groupBy("chunk")).applyInArrow(_score(model, key, burn), schema)
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
