@@ -30,9 +30,10 @@ from ledgerloom.llm.common import key_type, remainder, saved, spread
 END, START = b"", b" "
 START_KEY = np.uint64(xxhash.xxh64_intdigest(START))
 LEAST_CHUNKS = 32
-CHUNK_BYTES = 8_000_000
-# A pair's key has this many bits more than the corpus has bytes: about one pair in a million shares its key.
-SPARE_BITS = 20
+CHUNK_BYTES = 4_000_000
+# A pair's key has at least this many bits more than it takes to count the corpus's bytes, in whole bytes: less
+# than one pair in a hundred thousand shares its key.
+SPARE_BITS = 18
 # A dish with more customers than this is seated in sections of so many, all alike.
 SECTION = 256
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -153,6 +154,7 @@ def _row(chunk: int, part: int, kind: str, *xs: bytes, stats: tuple[int, ...] =
 
 
 def _messages(rows: list[tuple]) -> pa.Table:
+    pa.default_memory_pool().release_unused()
     kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.binary()] * 4, *[pa.int64()] * 4]
     columns = zip(*rows) if rows else [[]] * len(kinds)
     return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=_FIELDS)
@@ -510,9 +512,9 @@ def log_likelihood(
         raise ValueError("at least one round must follow the burn-in")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(LEAST_CHUNKS, math.ceil(size / chunk_bytes))
+    key_bytes = math.ceil((SPARE_BITS + math.ceil(math.log2(size + 1))) / 8)
     model = Model(
-        bits=max(6, math.ceil(math.log2(chunks))), key_bits=min(64, max(40, SPARE_BITS + math.ceil(math.log2(size + 1)))),
-        strength=strength,
+        bits=max(6, math.ceil(math.log2(chunks)) - 1), key_bits=8 * min(8, max(5, key_bytes)), strength=strength
     )
     kind = key_type(docs, key)
 
