@@ -19,6 +19,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,8 @@ CHUNK_BYTES = 4_000_000
 # than one pair in a hundred thousand shares its key.
 SPARE_BITS = 18
 # A dish with more customers than this is seated in sections of so many, all alike.
-SECTION = 256
+SECTION = 64
+_SHRINK, _EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _SLICE = 1 << 20
 MESSAGE = "chunk int, part int, kind string, x0 binary, x1 binary, x2 binary, x3 binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
@@ -126,14 +128,15 @@ def tables(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strength: np.nda
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Bytes of numbers, those of equal weight together, which compresses what sorted or small numbers share."""
+    """Compressed bytes of numbers, those of equal weight together: sorted and small numbers share many."""
     values = np.ascontiguousarray(values)
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return _SHRINK.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
 
 
 def unpacked(data: bytes | None, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data or b"", dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+    planes = np.frombuffer(_EXPAND.decompress(data) if data else b"", dtype=np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _counted(counts: np.ndarray) -> tuple[bytes, bytes]:
@@ -161,7 +164,8 @@ def _messages(rows: list[tuple]) -> pa.Table:
 
 
 def _of(table: pa.Table, kind: str) -> list[dict]:
-    return sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: (r["part"], r["chunk"]))
+    chosen = table.filter(pc.equal(table["kind"], kind)).to_pylist()
+    return sorted(chosen, key=lambda r: (r["part"], r["chunk"]))
 
 
 def _joined(rows: list[dict], column: str, kind: type) -> np.ndarray:
@@ -283,8 +287,8 @@ def _total(asked: pa.Table) -> pa.Table:
     Statistics: distinct keys, keys counted once and twice, and the sum; the start mark is no word.
     """
     rows = sorted(asked.to_pylist(), key=lambda r: r["chunk"])
-    sizes = [len(r["x0"]) // 8 for r in rows]
-    keys = _joined(rows, "x0", np.uint64)
+    each = [unpacked(r["x0"], np.uint64) for r in rows]
+    sizes, keys = [len(x) for x in each], np.concatenate(each)
     own = np.concatenate([_uncounted(r["x1"], r["x2"], n) for r, n in zip(rows, sizes)])
     found, at = np.unique(keys, return_inverse=True)
     total = np.bincount(at, weights=own, minlength=len(found)).astype(np.int64)
@@ -387,7 +391,8 @@ def _seat(model: Model, nth: int):
         if not asks:
             return _messages([])
         keys = _joined(asks, "x0", np.uint64)
-        m, t, u = (_joined(_of(answers, "answer"), x, np.int64) for x in ("x0", "x1", "x2"))
+        got = _of(answers, "answer")
+        m, t, u = (_joined(got, x, np.int64) for x in ("x0", "x1", "x2"))
         before, word = unpacked(cells[0]["x0"], np.int32), unpacked(cells[0]["x1"], np.int32)
         c = unpacked(cells[0]["x2"], np.int64)
         drawn = model.draw(pair_keys(keys[before], keys[word], model.key_bits), c, model.root(m, t, nth - 1)[word], u[before], nth) - 1
@@ -446,7 +451,8 @@ def _score(model: Model, key: str, burn: int):
         u[chunk.pair], w[chunk.pair] = chunk.before, chunk.word
 
         def state(r: int) -> list[np.ndarray]:
-            found = [_joined(_of(kept, f"answer{r}"), x, np.int64) for x in ("x0", "x1", "x2")]
+            rows = _of(kept, f"answer{r}")
+            found = [_joined(rows, x, np.int64) for x in ("x0", "x1", "x2")]
             return [x if len(x) else np.zeros(len(count), dtype=np.int64) for x in found]
 
         total, (m0, t0, u0) = np.zeros(len(c)), state(burn)
