@@ -36,7 +36,7 @@ CHUNK_BYTES = 4_000_000
 # than one pair in a hundred thousand shares its key.
 SPARE_BITS = 18
 # A dish with more customers than this is seated in sections of so many, all alike.
-SECTION = 64
+SECTION = 32
 _SHRINK, _EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _SLICE = 1 << 20
@@ -80,21 +80,19 @@ def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
     return _mixed(_mixed(before) * np.uint64(3) + word) >> np.uint64(64 - bits) << np.uint64(64 - bits)
 
 
-_STIRLING: dict[float, np.ndarray] = {}
+_STEPS: dict[float, np.ndarray] = {}
 
 
-def log_stirling(discount: float) -> np.ndarray:
-    """Logarithms of the generalised Stirling numbers S(c, t) for c and t up to SECTION."""
-    if discount not in _STIRLING:
-        table = np.full((SECTION + 1, SECTION + 1), -np.inf)
-        table[1, 1] = 0.0
+def stirling_steps(discount: float) -> np.ndarray:
+    """S(c, t + 1) / S(c, t) of the generalised Stirling numbers, for c and t up to SECTION; zero from t = c on."""
+    if discount not in _STEPS:
+        table = np.zeros((SECTION + 1, SECTION + 2))
+        table[1, 1] = 1.0
         for c in range(1, SECTION):
             t = np.arange(1, c + 2)
-            with np.errstate(divide="ignore"):
-                stay = table[c, 1 : c + 2] + np.log(np.maximum(c - t * discount, 0))
-            table[c + 1, 1 : c + 2] = np.logaddexp(table[c, : c + 1], stay)
-        _STIRLING[discount] = table
-    return _STIRLING[discount]
+            table[c + 1, 1 : c + 2] = table[c, : c + 1] + np.maximum(c - t * discount, 0) * table[c, 1 : c + 2]
+        _STEPS[discount] = np.divide(table[:, 1:], table[:, :-1], out=np.zeros((SECTION + 1, SECTION + 1)), where=table[:, :-1] > 0)
+    return _STEPS[discount]
 
 
 def tables(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strength: np.ndarray, discount: float) -> np.ndarray:
@@ -118,12 +116,13 @@ def tables(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strength: np.nda
     for size, a, b in zip(sizes, starts, [*starts[1:], len(c)]):
         if size < 2:
             continue
-        t = np.arange(size)
+        t, steps = np.arange(1, size), stirling_steps(discount)[size, 1:size]
         for at in np.array_split(order[a:b], max(1, (b - a) * int(size) >> 20)):
-            terms = np.log(strength[at][:, None] + discount * t) + np.log(parent[at])[:, None]
-            weight = log_stirling(discount)[size, 1 : size + 1] + np.cumsum(terms, axis=1)
-            upto = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
-            out[at] = 1 + (upto < uniform[at][:, None] * upto[:, -1:]).sum(axis=1)
+            # clipped far above what any corpus reaches, so that no product overflows
+            more = np.minimum(parent[at][:, None] * (strength[at][:, None] + discount * t) * steps, 1e9)
+            upto = 1 + np.cumsum(np.cumprod(more, axis=1), axis=1)
+            bar = uniform[at] * upto[:, -1]
+            out[at] = 1 + (bar >= 1) + (upto[:, :-1] < bar[:, None]).sum(axis=1)
     return out
 
 
