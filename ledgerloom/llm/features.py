@@ -157,18 +157,20 @@ class Matrix:
 
 def matrix(texts: list[str | None], least_docs: int = 8) -> Matrix:
     """Rows of ``texts``, without features that occur in fewer than ``least_docs`` of them."""
-    keys, counts = [], np.zeros((len(texts), 7))
+    found, n, counts = [], [], np.zeros((len(texts), 7))
     for of, parts in _portions(texts):
         g = grams(parts)
         for k in range(3):
-            keys.append(np.repeat(np.array(of), np.diff(g.at[k])) * WEIGHTS + g.index[k])
+            keys = np.repeat(np.array(of), np.diff(g.at[k])) * WEIGHTS + g.index[k]
+            for values, into in zip(np.unique(keys, return_counts=True), (found, n)):
+                into.append(values)
         np.add.at(counts, of, g.counts)
-    found, n = np.unique(np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64), return_counts=True)
-    row, index = found // WEIGHTS, found % WEIGHTS
+    keys = np.concatenate([np.zeros(0, dtype=np.int64), *found])
+    row, index = (keys // WEIGHTS).astype(np.int32), (keys % WEIGHTS).astype(np.int32)
     often = (np.bincount(index, minlength=WEIGHTS) >= least_docs)[index] & (index != NOTHING)
-    row, index, n = row[often], index[often], n[often]
+    row, index, n = row[often], index[often], np.concatenate([np.zeros(0, dtype=np.int64), *n])[often]
     per = np.maximum(counts[:, [0, 1, 1]], 1)[row, np.minimum(index // SIZE, 2)]
-    return Matrix(row, index, SCALE * n / per, shape(counts))
+    return Matrix(row, index, (SCALE * n / per).astype(np.float32), shape(counts))
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -176,7 +178,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def descend(
-    rows: Matrix, slope: Callable[[np.ndarray], np.ndarray], steps: int = 100, rate: float = 0.05, decay: float = 1e-4
+    rows: Matrix, slope: Callable[[np.ndarray], np.ndarray], steps: int = 100, rate: float = 0.1, decay: float = 1e-4
 ) -> Linear:
     """Adam from zero. ``slope`` gives the derivative of the risk by each row's log-odds."""
     model = Linear(np.zeros(WEIGHTS), np.zeros(DENSE), 0.0)

@@ -49,7 +49,7 @@ class Model:
     """What all tasks know: sizes of the corpus, discounts, and of each round the root's customers and tables."""
 
     bits: int
-    key_bits: int = 64
+    key_bits: int = 56
     tokens: int = 0
     distinct: int = 0
     discount: float = 0.5
@@ -77,7 +77,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
-    return _mixed(_mixed(before) * np.uint64(3) + word) >> np.uint64(64 - bits) << np.uint64(64 - bits)
+    return _paired(_mixed(before), word, bits)
+
+
+def _paired(mixed: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    return _mixed(mixed * np.uint64(3) + word) & ~np.uint64((1 << 64 - bits) - 1)
 
 
 _STEPS: dict[float, np.ndarray] = {}
@@ -244,7 +248,7 @@ class Chunk:
         place = np.empty(len(keys), dtype=np.int32)
         place[order] = np.arange(len(keys), dtype=np.int32)
         self.words, self.word, self.before = keys[order], place[token], place[before]
-        self.key = pair_keys(keys[before], keys[token], model.key_bits)
+        self.key = _paired(_mixed(keys)[before], keys[token], model.key_bits)
 
     def with_pairs(self) -> Chunk:
         self.pairs, pair = np.unique(self.key, return_inverse=True)
@@ -259,11 +263,11 @@ class Chunk:
 
     def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pair keys and how often each is learned here."""
-        keys = np.unique(self.key)
-        learned, n = np.unique(self.key[self.learn], return_counts=True)
-        counts = np.zeros(len(keys), dtype=np.int64)
-        counts[np.searchsorted(keys, learned)] = n
-        return keys, counts
+        marked = np.sort(self.key | self.learn.astype(np.uint64))  # the lowest bit of a key is free
+        del self.key
+        keys = marked & ~np.uint64(1)
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[starts], np.add.reduceat((marked & np.uint64(1)).astype(np.int64), starts)
 
 
 def _ask(model: Model):
@@ -291,9 +295,11 @@ def _total(asked: pa.Table) -> pa.Table:
     own = np.concatenate([_uncounted(r["x1"], r["x2"], n) for r, n in zip(rows, sizes)])
     found, at = np.unique(keys, return_inverse=True)
     total = np.bincount(at, weights=own, minlength=len(found)).astype(np.int64)
-    learned = np.flatnonzero(own > 0)
+    learned = np.flatnonzero(own > 0)[::-1]
+    earliest = np.full(len(found), -1, dtype=np.int64)
+    earliest[at[learned]] = learned  # the last assignment, of the first chunk, stays
     first = np.zeros(len(keys), dtype=bool)
-    first[learned[np.unique(at[learned], return_index=True)[1]]] = True
+    first[earliest[earliest >= 0]] = True
     counted = total[(found != START_KEY) & (total > 0)] if rows[0]["kind"] == "w" else total[total > 0]
     stats = (len(counted), (counted == 1).sum(), (counted == 2).sum(), counted.sum())
     answer, ends = total[at], np.cumsum(sizes)
@@ -519,7 +525,7 @@ def log_likelihood(
     chunks = max(LEAST_CHUNKS, math.ceil(size / chunk_bytes))
     key_bytes = math.ceil((SPARE_BITS + math.ceil(math.log2(size + 1))) / 8)
     model = Model(
-        bits=max(6, math.ceil(math.log2(chunks)) - 1), key_bits=8 * min(8, max(5, key_bytes)), strength=strength
+        bits=max(6, math.ceil(math.log2(chunks)) - 1), key_bits=8 * min(7, max(5, key_bytes)), strength=strength
     )
     kind = key_type(docs, key)
 

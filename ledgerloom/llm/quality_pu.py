@@ -19,9 +19,9 @@ from ledgerloom.llm.samples import drawn, labelled
 class Settings:
     """Learning reads at most ``positives`` and ``unlabelled`` texts of at most ``chars`` characters each."""
 
-    positives: int = 2000
-    unlabelled: int = 3500
-    chars: int = 6000
+    positives: int = 1500
+    unlabelled: int = 2500
+    chars: int = 4000
     steps: int = 120
     prior: float | None = None
     threshold: float = 0.3

@@ -26,8 +26,8 @@ _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 class Settings:
     """Learning reads at most ``rows`` labelled texts of at most ``chars`` characters; every fifth calibrates."""
 
-    rows: int = 5000
-    chars: int = 6000
+    rows: int = 4000
+    chars: int = 4000
     steps: int = 100
     least_words: int = 50
     most_repeated_percent: int = 50

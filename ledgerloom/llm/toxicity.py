@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +25,17 @@ GRADES = 4
 class Settings:
     """Learning reads at most ``rows`` labelled texts of each label, of at most ``chars`` characters, and keeps
     weights for at most ``vocabulary`` words, which is what is sent to the tasks. ``least_z`` is how many
-    standard deviations a word must be more frequent in toxic texts to be a feature."""
+    standard deviations, and ``least_times`` how many times, a word must be more frequent in toxic texts than in
+    others to be a feature; ``least_docs`` and ``least_share`` are the fewest toxic texts it must stand in, so that
+    the rare words of a few copies are none."""
 
-    rows: int = 4000
-    chars: int = 20_000
+    rows: int = 2500
+    chars: int = 8000
     vocabulary: int = 5000
     least_docs: int = 3
     least_z: float = 4.0
+    least_times: float = 10.0
+    least_share: float = 0.01
     steps: int = 400
     decay: float = 1e-4
     threshold: float = 0.5
@@ -53,21 +58,27 @@ class Ordinal:
         return sigmoid(latent[:, None] - self.cuts[None, :])
 
 
-def grades(texts: list[str], toxic: np.ndarray) -> np.ndarray:
-    """0 where not toxic, else 1 to 3 by thirds of the share of words that stand out in toxic texts.
+def unlike(texts: list[str]) -> list[int]:
+    """Places of one text of each set of near-copies: texts whose smallest hash of four words in a row is equal."""
+    first: dict[int, int] = {}
+    for i, text in enumerate(texts):
+        ws = TOKEN.findall(text.lower())
+        first.setdefault(min((xxhash.xxh64_intdigest(" ".join(ws[k : k + 4])) for k in range(max(1, len(ws) - 3)))), i)
+    return sorted(first.values())
 
-    The labels are binary; a word stands out when over ten times as frequent, by documents, among toxic texts
-    as among others (half a document added to each count) and in at least three of them.
+
+def grades(texts: list[str], toxic: np.ndarray, settings: Settings = Settings()) -> np.ndarray:
+    """0 where not toxic, else 1 to 3 by thirds of how many of the telling words a text holds.
+
+    The labels are binary; the words that tell toxic texts from others stand for how severe they are.
     """
-    sets = [TOKEN.findall(t.lower()) for t in texts]
-    n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
-    seen = [Counter(w for ws, t in zip(sets, toxic) if t == k for w in set(ws)) for k in (0, 1)]
-    marked = {w for w, c in seen[1].items() if c >= 3 and (c + 0.5) / n[1] > 10 * (seen[0][w] + 0.5) / n[0]}
-    share = np.array([sum(w in marked for w in ws) / max(1, len(ws)) for ws in sets])
+    sets = [set(TOKEN.findall(t.lower())) for t in texts]
+    marked = set(features(sets, toxic, settings))
+    held = np.array([len(ws & marked) for ws in sets])
     found = np.zeros(len(texts), dtype=int)
     if toxic.any():
-        low, high = np.quantile(share[toxic == 1], [1 / 3, 2 / 3])
-        found[toxic == 1] = 1 + (share[toxic == 1] > low) + (share[toxic == 1] > high)
+        low, high = np.quantile(held[toxic == 1], [1 / 3, 2 / 3])
+        found[toxic == 1] = 1 + (held[toxic == 1] > low) + (held[toxic == 1] > high)
     return found
 
 
@@ -80,7 +91,8 @@ def features(sets: list[set[str]], toxic: np.ndarray, settings: Settings = Setti
         share = (c1 + seen[0][w]) / (n1 + n0)
         spread_ = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)) or 1e-12
         z = (c1 / n1 - seen[0][w] / n0) / spread_
-        if c1 >= settings.least_docs and z >= settings.least_z:
+        times = (c1 + 0.5) / n1 / ((seen[0][w] + 0.5) / n0)
+        if c1 >= max(settings.least_docs, settings.least_share * n1) and z >= settings.least_z and times >= settings.least_times:
             found.append((-z, w))
     return [w for _, w in sorted(found)[: settings.vocabulary]]
 
@@ -127,7 +139,9 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     if len(set(toxic.tolist())) < 2:
         return None
     texts = [t for _, t in sample]
-    return fit(texts, grades(texts, toxic), settings)
+    kept = unlike(texts)
+    texts, toxic = [texts[i] for i in kept], toxic[kept]
+    return fit(texts, grades(texts, toxic, settings), settings) if len(set(toxic.tolist())) > 1 else None
 
 
 def score(docs: DataFrame, model: Ordinal | None, settings: Settings = Settings(), key: str = "doc_id") -> DataFrame:
