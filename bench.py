@@ -14,7 +14,7 @@ from checks import catalog  # noqa: E402
 from ledgerloom.session import build_session  # noqa: E402
 
 HEADLINE = (
-    "daily_payments", "open_balances_policy", "roll_one_day", "rebuild_balances", "daily_accrual",
+    "daily_totals", "open_balances_policy", "roll_one_day", "rebuild_balances", "loan_day_report",
     "upsert_payments", "forecast_schedule", "recalculate_schedule",
     "loan_cycle", "revenue", "revenue_snapshot_day", "form_fields", "application_state",
     "attributes_with_expiry",

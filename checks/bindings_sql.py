@@ -45,7 +45,7 @@ CTES = {
     "daily": """
         SELECT loan_id, CAST(payment_dttm AS DATE) AS payment_dttm,
                CAST(sum(payment_amount) AS BIGINT) AS daily_total_amount,
-               list(id ORDER BY id) AS transactions_ids
+               count(*) AS payments_count
         FROM payments GROUP BY ALL""",
     # opening amounts in exact arithmetic on the loan's rate and days
     "opened_flat": """
@@ -126,14 +126,14 @@ CTES = {
         SELECT financing_id, CAST(max(repayment_created_at) AS DATE) AS last_collection_date
         FROM collections WHERE project_name = '{PROJECT}' GROUP BY financing_id""",
     "numbered": """
-        SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY start_date, financing_id) AS INT) AS loan_num
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_date, md5(CAST(financing_id AS VARCHAR))) AS loan_num
         FROM fin""",
     # one row per loan with its lateness, rate and offer; project filter first, as numbering depends on it
     "priced": f"""
         SELECT f.*, n.last_collection_date, c.usd_rate,
                date_diff('day', f.due_date, n.last_collection_date) AS late,
                o.interest_amount AS offer_interest_amount, h.fixed_fee AS offer_fixed_fee
-        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY start_date, financing_id) AS INT) AS loan_num
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_date, md5(CAST(financing_id AS VARCHAR))) AS loan_num
               FROM fin WHERE project_name = '{PROJECT}') f
         LEFT JOIN newest_collection n USING (financing_id)
         LEFT JOIN fee_offers o ON o.offer_id = f.offer_id

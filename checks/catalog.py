@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed dates of the queries; the oracle uses the same ones.
 REBUILD_FROM, REBUILD_TO = "2025-02-15", "2025-04-01"
 HISTORY_FROM, HISTORY_TO = "2025-04-01", "2025-08-15"
-REPORT_START, REPORT_END = "2025-05-01", "2025-05-31"
+REPORT_START, REPORT_END = accrual.CALENDAR_START, accrual.CALENDAR_END
 PAYMENT_DAY = "2025-03-01"
 REPLAY_FROM, REPLAY_TO = "2025-02-01", "2025-04-15"
 CUT_FROM = "2025-03-10"
@@ -113,8 +113,8 @@ def daily_totals(b: Bindings) -> DataFrame:
 
 
 @query
-def daily_payments(b: Bindings) -> DataFrame:
-    return payments.daily_payments(b.payments())
+def payment_ids(b: Bindings) -> DataFrame:
+    return payments.payment_ids(b.payments())
 
 
 @query
@@ -129,12 +129,12 @@ def close_day_history(b: Bindings) -> DataFrame:
 
 @query
 def rebuild_balances(b: Bindings) -> DataFrame:
-    daily = payments.daily_totals(b.payments())
+    daily = payments.daily_totals(b.payments(), until=REBUILD_TO)
     return balances.rebuild_balances(open_balances_policy(b), daily, REBUILD_FROM, REBUILD_TO)
 
 
 def _history(b: Bindings, opened: DataFrame) -> DataFrame:
-    daily = payments.daily_totals(b.payments())
+    daily = payments.daily_totals(b.payments(), until=HISTORY_TO)
     return balances.rebuild_balances(opened, daily, HISTORY_FROM, HISTORY_TO)
 
 
@@ -144,21 +144,21 @@ def _four_day_products(b: Bindings) -> DataFrame:
 
 
 @query
-def daily_accrual_fixed(b: Bindings) -> DataFrame:
-    return accrual.daily_accrual_fixed(
-        b.loans(), b.products_flat(), b.offers(), b.terms(), payments.daily_payments(b.payments()),
-        _history(b, open_balances_flat(b)), REPORT_START, REPORT_END,
+def loan_day_report_fixed(b: Bindings) -> DataFrame:
+    return accrual.loan_day_report_fixed(
+        b.loans(), b.products_flat(), b.offers(), b.terms(), payments.daily_totals(b.payments()),
+        _history(b, open_balances_flat(b)),
     )
 
 
 @query
-def daily_accrual(b: Bindings) -> DataFrame:
+def loan_day_report(b: Bindings) -> DataFrame:
     """Flagship: opening, whole daily history and the report over it."""
     products = _four_day_products(b)
     opened = opening.open_balances_policy(b.loans(), products, b.offers(), b.terms())
-    return accrual.daily_accrual(
-        b.loans(), products, b.offers(), b.terms(), payments.daily_payments(b.payments()),
-        _history(b, opened), REPORT_START, REPORT_END,
+    return accrual.loan_day_report(
+        b.loans(), products, b.offers(), b.terms(), payments.daily_totals(b.payments()),
+        _history(b, opened),
     )
 
 
@@ -206,7 +206,7 @@ def cut_payments(b: Bindings) -> DataFrame:
 
 @query
 def report_slice(b: Bindings) -> DataFrame:
-    return accrual.report_slice(daily_accrual(b), LADDER_DAY).drop("transactions_ids")
+    return accrual.report_slice(loan_day_report(b), LADDER_DAY)
 
 
 @query

@@ -65,8 +65,7 @@ def _report(opened: str, products: str, policy: str, step: str) -> str:
             SELECT CAST(g AS DATE) AS report_dt, l.id AS loan_id, p.product_name, l.status,
                    CAST(l.open_dttm AS DATE) AS opened, t.periods, t.period_length AS length,
                    o.approved_amount AS approved, w.loan_balance, w.open_principal, w.open_interest, w.open_vat,
-                   d.daily_total_amount, d.transactions_ids,
-                   CASE WHEN d.loan_id IS NOT NULL THEN 0 END AS transactions_page
+                   d.daily_total_amount, d.payments_count
             FROM loans l
             CROSS JOIN generate_series({_date(c.REPORT_START)}, {_date(c.REPORT_END)}, INTERVAL 1 DAY) s(g)
             LEFT JOIN {products} p ON p.id = l.product_id
@@ -79,7 +78,7 @@ def _report(opened: str, products: str, policy: str, step: str) -> str:
     body = f"""
         SELECT report_dt, loan_id, product_name, {_loan_status('loan_balance')} AS loan_status,
                {status} AS collection_status, {label} AS dpd_status, loan_balance, open_principal, open_interest,
-               open_vat, daily_total_amount, transactions_ids, transactions_page
+               open_vat, daily_total_amount, payments_count
         FROM facts"""
     return with_ctes(body, extra, recursive=True)
 
@@ -247,7 +246,7 @@ _WITH_RATE = """fin f LEFT JOIN newest_collection n USING (financing_id)
 _FORM = """
     SELECT pw.product_id, 'form ' || pw.product_id AS product_name, 'window ' || pw.window_id AS window_name,
            pw.window_order, f.field_name, f.p_partkey AS field_order,
-           CAST(row_number() OVER (PARTITION BY pw.product_id ORDER BY pw.window_order, f.p_partkey) AS INT)
+           row_number() OVER (PARTITION BY pw.product_id ORDER BY pw.window_order, f.p_partkey)
                AS overall_order
     FROM (SELECT p_brand AS product_id, p_type AS window_id, min(p_partkey) AS window_order FROM part GROUP BY ALL) pw
     JOIN (SELECT p_type, p_partkey, concat_ws('#', p_name, p_partkey) AS field_name FROM part WHERE p_size > 5) f
@@ -269,7 +268,6 @@ _DECIMALS = {
         "fixed_fee_local", "vat", "refill_amount",
     ],
 }
-_LISTS = {name: ["transactions_ids"] for name in ("daily_payments", "daily_accrual_fixed", "daily_accrual")}
 
 
 def all_oracles() -> dict[str, str]:
@@ -279,7 +277,6 @@ def all_oracles() -> dict[str, str]:
 
 def _plain(name: str, sql: str) -> str:
     casts = [f"CAST({x} AS DOUBLE) AS {x}" for x in _DECIMALS.get(name, [])]
-    casts += [f"array_to_string({x}, ',') AS {x}" for x in _LISTS.get(name, [])]
     return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
 
 
@@ -317,15 +314,15 @@ def _oracles() -> dict[str, str]:
                     AND CAST(payment_dttm AS DATE) < {_date(c.REPLAY_TO)}"""
             },
         ),
-        "daily_totals": with_ctes("SELECT loan_id, payment_dttm, daily_total_amount FROM daily"),
-        "daily_payments": with_ctes("SELECT *, 0 AS transactions_page FROM daily"),
+        "daily_totals": with_ctes("SELECT * FROM daily"),
+        "payment_ids": with_ctes("SELECT loan_id, CAST(payment_dttm AS DATE) AS payment_dttm, id FROM payments"),
         "roll_one_day": with_ctes(_step("policy_balances")),
         "close_day_history": with_ctes(f"SELECT {BALANCE} FROM policy_balances UNION ALL {_step('policy_balances')}"),
         "rebuild_balances": with_ctes(
             f"SELECT {BALANCE} FROM walk", _rolled("policy_balances", c.REBUILD_FROM, c.REBUILD_TO), recursive=True
         ),
-        "daily_accrual_fixed": _report("flat_balances", "products_flat", "p.policy_id", "25"),
-        "daily_accrual": _flagship(),
+        "loan_day_report_fixed": _report("flat_balances", "products_flat", "p.policy_id", "25"),
+        "loan_day_report": _flagship(),
         "delinquency_labels": with_ctes(
             f"""
             SELECT id, {_loan_status('balance')} AS loan_status, {fixed_status} AS collection_fixed,
@@ -352,7 +349,7 @@ def _oracles() -> dict[str, str]:
             f"SELECT * FROM payments WHERE loan_id <> {c.ONE_LOAN} OR payment_dttm < {_date(c.CUT_FROM)}"
         ),
         "report_slice": f"""
-            SELECT * EXCLUDE (transactions_ids) FROM ({_flagship()})
+            SELECT * FROM ({_flagship()})
             WHERE report_dt <= {_date(c.LADDER_DAY)}""",
         "balance_slice": with_ctes(f"SELECT {BALANCE} FROM policy_balances"),
         "payment_slice": with_ctes(

@@ -15,7 +15,9 @@ def ingest_attributes(incoming: DataFrame, sources: DataFrame, meta: DataFrame)
     """
     source = sources.select(F.col("id").alias("source_id"), "source_name")
     attribute = meta.select(F.col("id").alias("attr_meta_id"), "attr_name")
-    key = F.concat_ws("|", "source_id", "user_id", "attr_meta_id", F.col("created_at").cast("string"))
+    parts = ("source_id", "user_id", "attr_meta_id", "created_at")
+    # a NULL is told from an empty text and from a missing part
+    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in parts])
     return (
         incoming.join(source, "source_name")
         .join(attribute, "attr_name")

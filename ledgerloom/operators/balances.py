@@ -12,8 +12,6 @@ BALANCE_COLUMNS = ("loan_id", "balance_date", *AMOUNTS)
 
 
 def _amount_by_day(daily: DataFrame, day: str, amount: str) -> DataFrame:
-    if "transactions_page" in daily.columns:
-        raise ValueError("pass daily_totals: daily_payments repeats a day's total on each page of ids")
     return daily.select("loan_id", F.col("payment_dttm").alias(day), F.col("daily_total_amount").alias(amount))
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.ranking import HOT_GROUP_ROWS, ranked
+from ledgerloom.plans.ranking import ranked
 
 ORDER_CELL = 1_000_000
 
 
 def form_fields(
     products: DataFrame, windows: DataFrame, fields: DataFrame,
-    product_windows: DataFrame, window_fields: DataFrame, hot_rows: int = HOT_GROUP_ROWS,
+    product_windows: DataFrame, window_fields: DataFrame,
 ) -> DataFrame:
     """Active fields of each product's active windows, numbered in display order.
 
@@ -34,7 +34,7 @@ def form_fields(
         .select("product_id", "product_name", "window_name", "window_order", "field_name", "field_order")
     )
     cells = [F.col("window_order"), F.floor(F.col("field_order") / ORDER_CELL)]
-    return ranked(rows, ["product_id"], ["window_order", "field_order"], cells, "overall_order", hot_rows).select(
+    return ranked(rows, ["product_id"], ["window_order", "field_order"], cells, "overall_order").select(
         "product_id", "product_name", "window_name", "window_order", "field_name", "field_order", "overall_order"
     )
 
@@ -42,10 +42,11 @@ def form_fields(
 def merged_values(patches: DataFrame) -> DataFrame:
     """Newest value per application and key: JSON merge where the later patch wins.
 
-    A maximum per key, combined map-side; patches of one application are never gathered.
+    A maximum per key, combined map-side; patches of one application are never gathered. A patch that is not
+    a JSON object is an error, as it would be in the source.
     """
     return (
-        patches.select("application_id", "seq", F.explode_outer(F.from_json("patch", "map<string,string>")))
+        patches.select("application_id", "seq", F.explode_outer(F.from_json("patch", "map<string,string>", {"mode": "FAILFAST"})))
         .filter(F.col("key").isNotNull())
         .groupBy("application_id", "key")
         .agg(F.max_by("value", "seq").alias("value"))

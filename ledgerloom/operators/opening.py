@@ -6,20 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.arith import int_div, to_int
-from ledgerloom.schemas import POLICY_CONFIG
 
 YEAR_DAYS = 365
 VAT_SHARE = "0.16"
 
 
 def parse_terms(terms: DataFrame) -> DataFrame:
-    """One row per policy with the JSON document parsed once into typed columns."""
-    config = F.from_json("policy_config", POLICY_CONFIG)
+    """One row per policy with the JSON document parsed once into whole-number columns.
+
+    Numbers may be quoted. Broken JSON is an error, and so, under ANSI, is a number that is not whole.
+    """
+    names = ("periods", "period_length", "total_interest_rate")
+    config = F.from_json("policy_config", ", ".join(f"{c} string" for c in names), {"mode": "FAILFAST"})
     return terms.select("id", config.alias("c")).select(
-        F.col("id").alias("policy_id"),
-        F.col("c.periods").alias("periods"),
-        F.col("c.period_length").alias("period_length"),
-        F.col("c.total_interest_rate").alias("total_interest_rate"),
+        F.col("id").alias("policy_id"), *[F.col(f"c.{c}").cast("int").alias(c) for c in names]
     )
 
 

@@ -2,54 +2,38 @@
 
 from __future__ import annotations
 
+import datetime as dt_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAGE_ROWS = 1_000_000
-
-
-def daily_totals(payments: DataFrame) -> DataFrame:
-    """Amount per loan and day. Combines map-side, so a hot loan shuffles one row per task and day."""
-    return payments.groupBy("loan_id", F.to_date("payment_dttm").alias("payment_dttm")).agg(
-        F.sum("payment_amount").alias("daily_total_amount")
-    )
+def _between(payments: DataFrame, since: str | dt_.date | None, until: str | dt_.date | None) -> DataFrame:
+    """Payments of the days since .. until - 1; the bounds compare with the stored timestamp and so reach the scan."""
+    for bound, keep in ((since, lambda at, day: at >= day), (until, lambda at, day: at < day)):
+        if bound is not None:
+            payments = payments.filter(keep(F.col("payment_dttm"), F.lit(str(bound)).cast("timestamp_ntz")))
+    return payments
 
 
-def daily_payments(payments: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Amount and sorted payment ids per loan and day.
+def daily_totals(
+    payments: DataFrame, since: str | dt_.date | None = None, until: str | dt_.date | None = None
+) -> DataFrame:
+    """Amount and number of payments, one row per loan and day.
 
-    A day's ids come in pages of about ``page_rows``; the total of the whole day stands on each page
-    and ``transactions_page`` tells the pages apart. An ordinary loan-day is one row, page 0. A
-    loan-day holding much of the table is thereby spread over tasks and never gathered whole. The
-    list of paged days is broadcast: at most one row per ``page_rows`` payments.
+    Combines map-side, so a hot loan shuffles one row per task and day.
     """
-    day = payments.select(
-        "loan_id", F.to_date("payment_dttm").alias("payment_dttm"), "id", "payment_amount"
-    )
-    keys = ["loan_id", "payment_dttm"]
-    paged = F.broadcast(
-        day.groupBy(*keys)
-        .agg(F.sum("payment_amount").alias("_total"), F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > page_rows)
-        .select(*keys, "_total", F.ceil(F.col("_n") / page_rows).alias("_pages"))
-    )
-    # leading hex digits of the digest spread ids evenly over a day's pages, whatever their type
-    digest = F.conv(F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 12), 16, 10)
-    page = F.when(F.col("_pages") > 1, F.pmod(digest.cast("bigint"), "_pages")).otherwise(F.lit(0))
-    page_keys = [*keys, "transactions_page"]
-    # ids are collected after the shuffle only: before it, arrays of one or two ids save nothing
-    return (
-        day.join(paged, keys, "left")
-        .withColumn("transactions_page", page.cast("int"))
-        .repartition(*page_keys)
-        .groupBy(*page_keys)
-        .agg(
-            F.coalesce(F.max("_total"), F.sum("payment_amount")).alias("daily_total_amount"),
-            F.sort_array(F.collect_list("id")).alias("transactions_ids"),
-        )
+    return _between(payments, since, until).groupBy("loan_id", F.to_date("payment_dttm").alias("payment_dttm")).agg(
+        F.sum("payment_amount").alias("daily_total_amount"), F.count(F.lit(1)).alias("payments_count")
     )
 
 
+def payment_ids(
+    payments: DataFrame, since: str | dt_.date | None = None, until: str | dt_.date | None = None
+) -> DataFrame:
+    """One row per payment: loan, day and id. Join it to totals or a report by loan and day; no list is gathered."""
+    return _between(payments, since, until).select("loan_id", F.to_date("payment_dttm").alias("payment_dttm"), "id")
+
+
 def payments_by_billing_month(payments: DataFrame) -> DataFrame:
     """Amount per loan and billing month, the month after the payment."""
     month = F.trunc(F.add_months("payment_date", 1), "MM")

@@ -6,26 +6,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.revenue import VAT, cycle_label, days_late
-from ledgerloom.plans.ranking import HOT_GROUP_ROWS, ranked
+from ledgerloom.plans.ranking import ranked
 
 # Percent of the fee by country, agreement dates, loan ordinal and lateness.
-# country, from, until (inclusive), ordinal, regular loans only, in term, <= 60 days late, 61-90 late
+# country, from, until (inclusive; None: open), ordinal, regular loans only, in term, <= 60 days late, 61-90 late
 RATES = (
-    (12, "1900-01-01", "2023-11-30", "first", True, 7.0, 2.1, 1.05),
-    (12, "1900-01-01", "2023-11-30", "later", False, 10.0, 3.0, 1.5),
+    (12, None, "2023-11-30", "first", True, 7.0, 2.1, 1.05),
+    (12, None, "2023-11-30", "later", False, 10.0, 3.0, 1.5),
     (12, "2023-12-01", "2024-07-31", "first", True, 7.0, 2.1, 1.05),
     (12, "2023-12-01", "2024-07-31", "later", False, 7.5, 2.25, 1.125),
     (22, "2023-12-01", "2024-07-31", "first", True, 5.5, 1.65, 0.825),
     (22, "2023-12-01", "2024-07-31", "later", False, 6.0, 1.8, 0.9),
-    (12, "2024-08-01", "9999-12-31", "any", False, 7.5, 2.25, 1.125),
-    (22, "2024-08-01", "9999-12-31", "any", False, 7.5, 2.25, 1.125),
-    (24, "2024-08-01", "9999-12-31", "any", False, 7.5, 2.25, 1.125),
+    (12, "2024-08-01", None, "any", False, 7.5, 2.25, 1.125),
+    (22, "2024-08-01", None, "any", False, 7.5, 2.25, 1.125),
+    (24, "2024-08-01", None, "any", False, 7.5, 2.25, 1.125),
 )
 # Countries whose fee includes VAT, which revenue leaves out.
 VAT_INCLUDED = (12, 22)
 
-ID_CELL = 1_000_000
-
 USD_AMOUNTS = {
     "total_repayment_amount": "total_repayment_amount",
     "fga_fee": "fga_sum",
@@ -37,8 +35,11 @@ USD_AMOUNTS = {
 
 def rate_table(spark: SparkSession, rates=RATES) -> DataFrame:
     """The rate rows as literal SQL values, whose size Spark knows when it picks the join."""
+    def day(value: str | None) -> str:
+        return f"date'{value}'" if value else "CAST(NULL AS DATE)"
+
     rows = ", ".join(
-        f"({c}, date'{a}', date'{b}', '{o}', {str(r).lower()}, {x}D, {y}D, {z}D)"
+        f"({c}, {day(a)}, {day(b)}, '{o}', {str(r).lower()}, {x}D, {y}D, {z}D)"
         for c, a, b, o, r, x, y, z in rates
     )
     return spark.sql(
@@ -47,14 +48,15 @@ def rate_table(spark: SparkSession, rates=RATES) -> DataFrame:
     )
 
 
-def loan_cycle(fin: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def loan_cycle(fin: DataFrame) -> DataFrame:
     """Adds the loan's ordinal within its user and its cycle label.
 
-    Loans of one user on one day are ordered by ``financing_id``. A user holding very many loans is
-    numbered in cells of one start day and one million ids.
+    Loans of one user on one day are ordered by a digest of ``financing_id``, whatever its type; those without
+    a start date come first. A user's loans are numbered in cells of one day and two digits of the digest.
     """
-    cells = [F.col("start_date"), F.floor(F.col("financing_id") / ID_CELL)]
-    numbered = ranked(fin, ["user_id"], ["start_date", "financing_id"], cells, "loan_num", hot_rows)
+    marked = fin.withColumn("_digest", F.md5(F.col("financing_id").cast("string").cast("binary")))
+    cells = [F.col("start_date"), F.substring("_digest", 1, 2)]
+    numbered = ranked(marked, ["user_id"], ["start_date", "_digest"], cells, "loan_num").drop("_digest")
     return numbered.withColumn("loan_num_status", cycle_label(F.col("financing_type"), F.col("loan_num")))
 
 
@@ -103,7 +105,8 @@ def fee_share(df: DataFrame, rates: DataFrame) -> DataFrame:
     first = F.col("loan_num") == 1
     applies = (
         (F.col("country_id") == F.col("rate_country"))
-        & F.col("start_date").between(F.col("valid_from"), F.col("valid_until"))
+        & (F.col("valid_from").isNull() | (F.col("start_date") >= F.col("valid_from")))
+        & (F.col("valid_until").isNull() | (F.col("start_date") <= F.col("valid_until")))
         & (F.col("financing_status") == "PAID")
         & (regular | (refill & ~F.col("regular_only")))
         & ((F.col("ordinal") == "any") | (first == (F.col("ordinal") == "first")))

@@ -16,6 +16,11 @@ def _day(value: str | dt_.date) -> Column:
     return F.lit(str(value)).cast("date")
 
 
+def _instant(value: str | dt_.date) -> Column:
+    """Start of a day. Compared with a stored timestamp it reaches the scan, which ``to_date`` around it does not."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def without_ids(df: DataFrame, column: str, ids: DataFrame, id_column: str = "id") -> DataFrame:
     """Rows of ``df`` whose ``column`` is not among ``ids``; NULL keys stay."""
     gone = ids.select(F.col(id_column).alias("_gone"))
@@ -30,7 +35,8 @@ def upsert_loans(loans: DataFrame, balances: DataFrame, batch: DataFrame) -> tup
 
 def upsert_payments(payments: DataFrame, staged: DataFrame, dt: str | dt_.date) -> DataFrame:
     """Staged payments of day ``dt`` replace payments of the same id."""
-    day = staged.filter(F.to_date("payment_dttm") == _day(dt)).select(*payments.columns)
+    on, after = F.col("payment_dttm"), dt_.date.fromisoformat(str(dt)) + dt_.timedelta(days=1)
+    day = staged.filter((on >= _instant(dt)) & (on < _instant(after))).select(*payments.columns)
     return without_ids(payments, "id", day).unionByName(day)
 
 
@@ -41,9 +47,9 @@ def rebuild_payments(
 
     Staged ids are unique, so applying the days one by one or together gives the same rows.
     """
-    on = F.to_date("payment_dttm")
-    window = staged.filter((on >= _day(dt)) & (on < _day(as_of))).select(*payments.columns)
-    kept = payments.filter(F.col("payment_dttm") < _day(dt).cast("timestamp_ntz"))
+    on = F.col("payment_dttm")
+    window = staged.filter((on >= _instant(dt)) & (on < _instant(as_of))).select(*payments.columns)
+    kept = payments.filter(on < _instant(dt))
     return without_ids(kept, "id", window).unionByName(window)
 
 
@@ -58,8 +64,9 @@ def cut_from(
     df: DataFrame, dt: str | dt_.date, date_column: str,
     loan_id: int | None = None, loan_column: str = "loan_id",
 ) -> DataFrame:
-    """Drop rows dated ``dt`` or later, of one loan or of all."""
-    cut = F.to_date(date_column) >= _day(dt)
+    """Drop rows dated ``dt`` or later, of one loan or of all. Rows without a date or loan stay."""
+    on, loan = F.col(date_column), F.col(loan_column)
+    kept = (on < _day(dt)) | on.isNull()
     if loan_id is not None:
-        cut = cut & (F.col(loan_column) == F.lit(loan_id))
-    return df.filter(~F.coalesce(cut, F.lit(False)))
+        kept = kept | (loan != F.lit(loan_id)) | loan.isNull()
+    return df.filter(kept)

@@ -256,4 +256,4 @@ def package_schedule(schedules: DataFrame) -> DataFrame:
     """One JSON array per loan and version, its rows in payment order; at most one row per period."""
     extra = ["created_at"] if "created_at" in schedules.columns else []
     rows = F.sort_array(F.collect_list(F.struct(*PACKED_KEYS)))
-    return schedules.groupBy("loan_id", "version", *extra).agg(F.to_json(rows).alias("repayment_schedule"))
+    return schedules.groupBy("loan_id", "version", *extra).agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("repayment_schedule"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt_
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.balances import BALANCE_COLUMNS, roll_one_day
 from ledgerloom.operators.opening import open_balances_flat, open_balances_policy
@@ -37,6 +40,17 @@ def add_loans_policy(
     )
 
 
+def close_one_day(balances: DataFrame, payments: DataFrame, day: str | dt_.date) -> DataFrame:
+    """The rows of ``day`` alone: balances of the day before, rolled by the payments of ``day``.
+
+    Both scans are pruned, to one partition and one day. Loans whose newest row is older are not caught up;
+    ``rebuild_balances`` does that.
+    """
+    closing = dt_.date.fromisoformat(str(day))
+    before = balances.filter(F.col("balance_date") == F.lit(str(closing - dt_.timedelta(days=1))).cast("date"))
+    return roll_one_day(before, daily_totals(payments, closing, closing + dt_.timedelta(days=1)))
+
+
 def close_day(balances: DataFrame, payments: DataFrame) -> DataFrame:
     """Balance history with one more day per open loan.
 

@@ -2,58 +2,34 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_GROUP_ROWS = 2_000_000
-
 
-def ranked(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    cells: list[Column],
-    name: str,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """``row_number`` within ``keys`` by ``order`` as column ``name``, exact for groups of any size.
+def ranked(df: DataFrame, keys: list[str], order: list[str], cells: list[Column], name: str) -> DataFrame:
+    """``row_number`` within ``keys`` by ``order`` as a bigint column ``name``, the same way for groups of any size.
 
-    Groups above ``hot_rows`` are cut into ``cells``: expressions that must never decrease along
-    ``order``. A row's number is its place inside its cell plus the rows of the earlier cells, so no
-    task sorts more than one cell. Other groups take the ordinary window. Counting reads only the
-    key and cell columns and combines map-side before it shuffles. The list of hot groups is
-    broadcast: it holds at most one row per ``hot_rows`` rows of ``df``, a few million at 10^13 rows.
-
-    ``order`` must be unique within a group, cells must not be NULL, and ``df`` must give the same
-    rows each time it is read.
+    Every group is cut into ``cells``: expressions that never decrease along ``order`` (NULLs first). A row's
+    number is its place inside its cell plus the rows of the earlier cells, so a task sorts one cell and not one
+    group. Cells are counted map-side; the input is read twice, whatever its groups. Keys and cells may be
+    NULL: NULL keys are one group. ``order`` must be unique within a group, and ``df`` must give the same rows
+    each time it is read.
     """
-    cell_names = [f"_cell{i}" for i in range(len(cells))]
-    hot_flag = "_hot"
-
-    hot = F.broadcast(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(True).alias(hot_flag))
-    )
-
-    def marked(frame: DataFrame) -> DataFrame:
-        cut = {c: F.when(F.col(hot_flag), e) for c, e in zip(cell_names, cells)}
-        return frame.join(hot, keys, "left").withColumns(cut)
-
-    before = Window.partitionBy(*keys).orderBy(*cell_names).rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"_cell{i}" for i in range(len(cells))]
+    by = [*keys, *names]
+    celled = df.withColumns(dict(zip(names, cells)))
+    placed = celled.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    earlier = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.join(hot, keys, "left_semi")
-        .groupBy(*keys, *[e.alias(c) for c, e in zip(cell_names, cells)])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+        celled.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .select(*[F.col(c).alias(f"_of_{c}") for c in by], "_before")
     )
-
-    inside = Window.partitionBy(*keys, *cell_names).orderBy(*order)
-    numbered = marked(df).withColumn("_place", F.row_number().over(inside))
-    # cell columns are NULL for ordinary groups, which then match no offset
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
     return (
-        numbered.join(offsets, [*keys, *cell_names], "left")
-        .withColumn(name, (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("int"))
-        .drop("_place", "_before", hot_flag, *cell_names)
+        placed.join(offsets, same)
+        .withColumn(name, F.col("_place").cast("bigint") + F.col("_before"))
+        .select(*[c for c in df.columns if c != name], name)
     )

@@ -24,6 +24,14 @@ SNAPSHOT_COLUMNS = (
 )
 
 
+def _one(df: DataFrame, key: str, value: str, as_key: str, as_value: str) -> DataFrame:
+    """(key, value), one row per key; repeated rows count once, a key with two values is an error when read."""
+    found = df.groupBy(F.col(key).alias(as_key)).agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+    clash = F.raise_error(F.concat(F.lit(f"two values of {value} for {key} "), F.col(as_key).cast("string")))
+    chosen = F.when(F.col("_least").eqNullSafe(F.col("_most")), F.col("_least")).otherwise(clash)
+    return found.select(as_key, chosen.alias(as_value))
+
+
 def revenue_snapshot(
     fin: DataFrame, drivers: DataFrame, offers: DataFrame, offers_hist: DataFrame,
     repayments: DataFrame, currency: DataFrame, as_of: str | dt_.date, project: str,
@@ -31,15 +39,15 @@ def revenue_snapshot(
 ) -> DataFrame:
     """One row per loan of ``project`` as of a day.
 
-    Loans are numbered before any other table is joined. The keys of drivers, offers, historical
-    offers and currency must be unique (``audit_unique``). Every row then differs by user and
-    ordinal, so a DISTINCT over the wide result could remove nothing and is not paid for.
+    Loans are numbered before any other table is joined. Drivers, offers and historical offers may repeat rows;
+    a key with two values is an error. The key of currency must be unique (``audit_unique``). Every row then
+    differs by user and ordinal, so a DISTINCT over the wide result could remove nothing and is not paid for.
     """
     rates = rate_table(fin.sparkSession) if rates is None else rates
     loans = loan_cycle(fin.filter(F.col("project_name") == project))
-    merchant = drivers.select(F.col("dwh_driver_id").alias("user_id"), F.col("driver_id").alias("external_merchant_id"))
-    offer = offers.select("offer_id", F.col("interest_amount").alias("offer_interest_amount"))
-    old_offer = offers_hist.select("offer_id", F.col("fixed_fee").alias("offer_fixed_fee"))
+    merchant = _one(drivers, "dwh_driver_id", "driver_id", "user_id", "external_merchant_id")
+    offer = _one(offers, "offer_id", "interest_amount", "offer_id", "offer_interest_amount")
+    old_offer = _one(offers_hist, "offer_id", "fixed_fee", "offer_id", "offer_fixed_fee")
     joined = (
         loans.join(last_collection(repayments, project), "financing_id", "left")
         .join(offer, "offer_id", "left")

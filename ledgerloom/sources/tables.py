@@ -29,6 +29,30 @@ def write_partitions(df: DataFrame, path: str, column: str) -> int:
     return written.get["rows"]
 
 
+def _empty(df: DataFrame, path: str, column: str, value: str) -> None:
+    df.drop(column).limit(0).write.mode("overwrite").parquet(f"{path}/{column}={value}")
+
+
+def replace_from(df: DataFrame, path: str, column: str, dt: str | dt_.date) -> int:
+    """Leave exactly the rows of ``df`` in the partitions from day ``dt`` on; returns rows written.
+
+    Partitions of ``df`` are replaced, older ones from ``dt`` on that it does not name are emptied afterwards.
+    Running it again with the same rows changes nothing. Only the days present are listed on the driver.
+    """
+    spark, start = df.sparkSession, F.lit(str(dt)).cast("date")
+
+    def days() -> set[str]:
+        found = spark.read.parquet(path).select(F.col(column).cast("date").alias("day")).filter(F.col("day") >= start)
+        return {str(r.day) for r in found.distinct().collect()}
+
+    new = df.filter(F.col(column) >= start)
+    named = {str(r.day) for r in new.select(F.col(column).cast("date").alias("day")).distinct().collect()}
+    written = write_partitions(new, path, column)
+    for day in sorted(days() - named):
+        _empty(df, path, column, day)
+    return written
+
+
 def write_snapshot(df: DataFrame, path: str, as_of: str | dt_.date) -> None:
     """Replace one day's snapshot; a second run of the same day changes nothing.
 
@@ -37,4 +61,4 @@ def write_snapshot(df: DataFrame, path: str, as_of: str | dt_.date) -> None:
     column = "snap_dt_part"
     dated = df.withColumn(column, F.lit(str(as_of)).cast("date"))
     if write_partitions(dated, path, column) == 0:
-        dated.drop(column).limit(0).write.mode("overwrite").parquet(f"{path}/{column}={as_of}")
+        _empty(dated, path, column, str(as_of))

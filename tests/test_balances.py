@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import accrual, balances, opening, payments, rewrites
-from ledgerloom.plans.daily_cycle import add_loans_flat, add_loans_policy, close_day
+from ledgerloom.plans.daily_cycle import add_loans_flat, add_loans_policy, close_day, close_one_day
+from ledgerloom.sources.tables import replace_from, write_partitions
 from tests import seed_frames as seed
 from tests.seed_frames import day
 
@@ -77,7 +78,7 @@ def test_delinquency_report(spark):
     history = balances.rebuild_balances(
         opening.open_balances_policy(*args[:2], *args[2:]), payments.daily_totals(paid), "2025-03-18", "2025-03-31"
     )
-    report = accrual.daily_accrual(*args, payments.daily_payments(paid), history)
+    report = accrual.loan_day_report(*args, payments.daily_totals(paid), history)
     rows = {
         str(r.report_dt): (r.open_principal, r.open_interest, r.open_vat, r.loan_balance, r.collection_status, r.dpd_status)
         for r in accrual.report_slice(report, "2025-03-30", 3001).collect()
@@ -100,19 +101,19 @@ def test_delinquency_report(spark):
     assert report.count() == 291
     last = report.filter("report_dt = '2026-01-01'").first()
     assert last.loan_status == "NO BALANCE DATA" and last.collection_status == "OK"
-    ids = {str(r.report_dt): r.transactions_ids for r in report.filter("daily_total_amount > 0").collect()}
-    assert ids["2025-03-20"] == [4107, 4108] and len(ids) == 11
+    counts = {str(r.report_dt): r.payments_count for r in report.filter("daily_total_amount > 0").collect()}
+    assert counts["2025-03-20"] == 2 and len(counts) == 11
 
 
-def test_report_without_ids(spark):
+def test_report_of_two_days(spark):
     daily = payments.daily_totals(seed.payments(spark, seed.WALKTHROUGH))
-    report = accrual.daily_accrual_fixed(
+    report = accrual.loan_day_report_fixed(
         seed.loans(spark), seed.products_flat(spark), seed.offers(spark), seed.terms(spark), daily,
         opened(spark, "flat"), "2025-03-17", "2025-03-18",
     )
     rows = report.orderBy("report_dt").collect()
-    assert [(r.loan_status, r.daily_total_amount, r.transactions_ids) for r in rows] == [
-        ("ACTIVE", None, None), ("NO BALANCE DATA", 2600, None),
+    assert [(r.loan_status, r.daily_total_amount, r.payments_count) for r in rows] == [
+        ("ACTIVE", None, None), ("NO BALANCE DATA", 2600, 3),
     ]
 
 
@@ -212,24 +213,59 @@ def test_rebuild_drops_loans_opened_later_and_never_skips_a_day(spark):
     assert got == [(1, f"2025-01-0{d}", b) for d, b in ((1, 12), (2, 12), (3, 12), (4, 8), (5, 8))]
 
 
-def test_hot_loan_day_is_paged(spark):
-    rows = [(i, 1, "ride_payment", "2025-03-18 11:00:00", 1) for i in range(500)]
-    rows += [(1000 + i, 2, "ride_payment", f"2025-03-1{i} 09:00:00", 5) for i in range(3)]
-    paged = payments.daily_payments(seed.payments(spark, rows), page_rows=100).collect()
-    hot = [r for r in paged if r.loan_id == 1]
-    assert len(hot) == 5 and {r.transactions_page for r in hot} == set(range(5))
-    assert sorted(i for r in hot for i in r.transactions_ids) == list(range(500))
-    assert {r.daily_total_amount for r in hot} == {500}
-    assert [(r.transactions_page, r.daily_total_amount) for r in paged if r.loan_id == 2] == [(0, 5)] * 3
-    whole = payments.daily_payments(seed.payments(spark, rows)).filter("loan_id = 1").collect()
-    assert len(whole) == 1 and whole[0].transactions_ids == list(range(500))
-
-
-def test_pages_are_refused_where_they_would_count_twice(spark):
-    paged = payments.daily_payments(seed.payments(spark, seed.WALKTHROUGH))
-    for use in (balances.roll_one_day, lambda h, d: balances.rebuild_balances(h, d, "2025-03-18", "2025-03-20")):
-        with pytest.raises(ValueError):
-            use(opened(spark, "flat"), paged)
+def test_a_large_loan_day_is_one_row_and_every_id_stands_once(spark):
+    rows = [(i, 1, "ride_payment", "2025-03-18 11:00:00", 1) for i in range(5000)]
+    rows += [(9000 + i, 2, "ride_payment", f"2025-03-1{i} 09:00:00", 5) for i in range(3)]
+    paid = seed.payments(spark, rows)
+    totals = payments.daily_totals(paid).collect()
+    assert [(r.daily_total_amount, r.payments_count) for r in totals if r.loan_id == 1] == [(5000, 5000)]
+    assert [(r.daily_total_amount, r.payments_count) for r in totals if r.loan_id == 2] == [(5, 1)] * 3
+    ids = payments.payment_ids(paid).collect()
+    assert sorted(r.id for r in ids) == sorted(r[0] for r in rows)
+    report = accrual.loan_day_report_fixed(
+        seed.loans(spark).withColumn("id", F.lit(1)).limit(1), seed.products_flat(spark), seed.offers(spark),
+        seed.terms(spark), payments.daily_totals(paid), opened(spark, "flat"), "2025-03-18", "2025-03-18",
+    )
+    assert [(r.daily_total_amount, r.payments_count) for r in report.collect()] == [(5000, 5000)]
+
+
+def test_totals_of_some_days(spark):
+    paid = seed.payments(spark, [(i, 1, "x", f"2025-03-1{i} 09:00:00", 5) for i in range(5)])
+    days = [str(r.payment_dttm) for r in payments.daily_totals(paid, "2025-03-11", "2025-03-13").collect()]
+    assert sorted(days) == ["2025-03-11", "2025-03-12"]
+
+
+def test_one_day_closed_alone(spark):
+    history = opened(spark, "flat")
+    paid = seed.payments(spark, seed.WALKTHROUGH)
+    assert amounts(close_one_day(history, paid, "2025-03-18")) == [WALK_FLAT[0]]
+    assert close_one_day(history, paid, "2025-03-20").count() == 0
+
+
+def test_rows_from_a_day_on_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "balances")
+    rows = [(1, day(f"2025-01-0{d}"), 10 - d, 0, 0, 10 - d) for d in range(1, 6)]
+    old = spark.createDataFrame(rows, schemas.BALANCES)
+    write_partitions(old, path, "balance_date")
+    new = spark.createDataFrame([(2, day("2025-01-03"), 5, 0, 0, 5)], schemas.BALANCES)
+    for _ in range(2):
+        assert replace_from(new, path, "balance_date", "2025-01-03") == 1
+        got = sorted((r.loan_id, str(r.balance_date)) for r in spark.read.parquet(path).collect())
+        assert got == [(1, "2025-01-01"), (1, "2025-01-02"), (2, "2025-01-03")]
+
+
+@pytest.mark.parametrize("config, rate", [
+    ('{"periods": 4, "period_length": 31, "total_interest_rate": "40"}', 40),
+    ('{"periods": 4, "period_length": 31, "total_interest_rate": 40.5}', None),
+    ('{"periods": 4, "period_length"', None),
+])
+def test_policies_are_read_strictly(spark, config, rate):
+    terms = spark.createDataFrame([(1, config)], "id INT, policy_config STRING")
+    if rate is None:
+        with pytest.raises(Exception, match="MALFORMED|CAST_INVALID"):
+            opening.parse_terms(terms).collect()
+    else:
+        assert opening.parse_terms(terms).first().total_interest_rate == rate
 
 
 def test_slices_and_offers(spark):

@@ -27,10 +27,9 @@ def fields_of(df, product=1):
     return [r.field_name for r in rows]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**9])
-def test_form_fields(spark, hot_rows):
+def test_form_fields(spark):
     tables = form(spark)
-    whole = forms.form_fields(**tables, hot_rows=hot_rows)
+    whole = forms.form_fields(**tables)
     assert fields_of(whole) == ORDERED and fields_of(whole, 2) == ORDERED and fields_of(whole, 3) == []
     windows = rewrites.set_where(tables["windows"], F.col("window_name") == "bank_details", "is_active", False)
     assert fields_of(forms.form_fields(**{**tables, "windows": windows}, hot_rows=hot_rows)) == ORDERED[:5]
@@ -40,24 +39,29 @@ def test_form_fields(spark, hot_rows):
 
 
 def test_application_walk(spark):
-    # The seed application's steps, then two made-up ones
     patches = [
         (1, 1, None, None, "IN_PROGRESS"),
         (1, 2, None, 1, None),
-        (1, 3, '{"CURP": "CAPJ630301HDFHRN05", "RFC": "CAPJ630301472"}', 2, None),
-        (1, 4, '{"address_country": "México","address_city": "Ciudad de México","address_zipcode": "09700"}', 3, None),
-        (1, 5, '{"bank_account": "127180013431460821","bank_code": "127"}', None, "COMPLETED"),
+        (1, 3, '{"CURP": "AAAA000000", "RFC": "BBBB111111"}', 2, None),
+        (1, 4, '{"address_country": "Land","address_city": "Town","address_zipcode": "00001"}', 3, None),
+        (1, 5, '{"bank_account": "0000000001","bank_code": "000"}', None, "COMPLETED"),
         (2, 1, None, None, "IN_PROGRESS"),
         (3, 1, '{"a": "1", "b": "2"}', 1, None),
         (3, 2, '{"a": "3", "b": null}', 2, "IN_PROGRESS"),
     ]
     rows = {r.application_id: r for r in forms.application_state(frame(spark, patches, schemas.PATCHES)).collect()}
     assert (rows[1].current_window_id, rows[1].status, set(rows[1].application_data)) == (3, "COMPLETED", set(ORDERED))
-    assert rows[1].application_data["address_city"] == "Ciudad de México"
+    assert rows[1].application_data["address_city"] == "Town"
     assert (rows[2].current_window_id, rows[2].application_data) == (None, {})
     assert rows[3].application_data == {"a": "3", "b": None} and rows[3].current_window_id == 2
 
 
+def test_a_broken_patch_is_an_error(spark):
+    patches = frame(spark, [(1, 1, '{"a": "1"', 1, None)], schemas.PATCHES)
+    with pytest.raises(Exception, match="MALFORMED"):
+        forms.application_state(patches).collect()
+
+
 def test_attributes(spark):
     sources = frame(spark, [("s1", "service_db", 1), ("s2", "partner_API", 2)], schemas.SOURCES)
     meta = frame(
@@ -66,14 +70,14 @@ def test_attributes(spark):
     )
     incoming = frame(
         spark,
-        [("service_db", "u1", "email", "pablo@example.com", "t1"), ("service_db", "u1", "phone", "+525594357630", "t1"),
+        [("service_db", "u1", "email", "someone@example.com", "t1"), ("service_db", "u1", "phone", "+100000001", "t1"),
          ("service_db", "u1", "shoe_size", "44", "t1"), ("unlisted", "u1", "email", "x", "t1")],
         "source_name STRING, user_id STRING, attr_name STRING, value STRING, created_at STRING",
     )
     rows = attributes.attributes_with_expiry(attributes.ingest_attributes(incoming, sources, meta), meta)
     got = {r.attr_name: r for r in rows.collect()}
     assert set(got) == {"email", "phone"}
-    assert bytes(got["email"].data) == b"pablo@example.com" and got["email"].expiration_policy == 365
+    assert bytes(got["email"].data) == b"someone@example.com" and got["email"].expiration_policy == 365
     assert got["phone"].expiration_policy == 180 and got["phone"].source_id == "s1"
     again = attributes.ingest_attributes(incoming, sources, meta)
     assert {r.id for r in again.collect()} == {r.id for r in rows.collect()}
