@@ -13,7 +13,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among ``ids``; the one with a NULL id stay if NULL is."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.select(*COLUMNS).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

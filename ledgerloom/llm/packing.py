@@ -18,7 +18,7 @@ from ledgerloom.llm.common import key_type, spread
 CAPACITY = 1024
 END_ID = 2
 # Documents packed together by one task, on average.
-SHARD_DOCS = 8192
+SHARD_DOCS = 4096
 SPECIAL = "<|endoftext|>"
 
 

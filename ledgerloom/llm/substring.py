@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import key_type, saved
+from ledgerloom.llm.common import fresh, key_type, saved
 
 # A unit below this many words is too common to mean anything and is never compared.
 LEAST_WORDS = 5
@@ -130,16 +130,17 @@ def remove_repeats(
     one document: its copies come out alike and are not cut by each other. A document all of whose units stand
     earlier comes out blank, for the caller to drop.
     """
+    of_key, of_version, version, cuts = (fresh(docs, c) for c in ("_key", "_of", "_version", "_spans"))
     spans = (
-        repeated_units(docs, key, run_words, least)
+        repeated_units(docs.select(key, "text"), key, run_words, least)
         .groupBy(key, "version")
-        .agg(F.sort_array(F.collect_set("span")).alias("_spans"))
-        .select(F.col(key).alias("_key"), F.col("version").alias("_version"), "_spans")
+        .agg(F.sort_array(F.collect_set("span")).alias(cuts))
+        .select(F.col(key).alias(of_key), F.col("version").alias(of_version), cuts)
     )
     rest = [c for c in docs.columns if c not in ("text", "removed")]
-    joined = docs.select(*rest, "text", F.xxhash64("text").alias("_of")).join(
-        spans, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_of") == F.col("_version")), "left"
-    ).select(*rest, "text", "_spans")
+    joined = docs.select(*rest, "text", F.xxhash64("text").alias(version)).join(
+        spans, F.col(key).eqNullSafe(F.col(of_key)) & (F.col(version) == F.col(of_version)), "left"
+    ).select(*rest, "text", cuts)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
