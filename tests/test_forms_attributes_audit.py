@@ -32,9 +32,9 @@ def test_form_fields(spark):
     whole = forms.form_fields(**tables)
     assert fields_of(whole) == ORDERED and fields_of(whole, 2) == ORDERED and fields_of(whole, 3) == []
     windows = rewrites.set_where(tables["windows"], F.col("window_name") == "bank_details", "is_active", False)
-    assert fields_of(forms.form_fields(**{**tables, "windows": windows}, hot_rows=hot_rows)) == ORDERED[:5]
+    assert fields_of(forms.form_fields(**{**tables, "windows": windows})) == ORDERED[:5]
     fields = rewrites.set_where(tables["fields"], F.col("field_name") == "address_zipcode", "is_active", False)
-    left = fields_of(forms.form_fields(**{**tables, "fields": fields}, hot_rows=hot_rows))
+    left = fields_of(forms.form_fields(**{**tables, "fields": fields}))
     assert left == [f for f in ORDERED if f != "address_zipcode"]
 
 
