@@ -91,3 +91,13 @@ def test_cycle_number_is_one_window(spark):
 
 def test_entry(spark):
     assert len(entry.entry(spark).columns) == 12
+
+
+@pytest.mark.parametrize("name", ["loan_day_report", "loan_day_report_fixed"])
+def test_report_days_come_after_the_last_shuffle(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        above = plan(spark, name).split("explode(")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Generate" in above and "Exchange" not in above and "Sort" not in above
