@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import string
 from collections import Counter
 from collections.abc import Iterator
@@ -10,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import key_type, remainder, spread
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 NOT_LETTERS = (string.punctuation + string.digits).encode()
 
 
