@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,10 +23,24 @@ CODES = 6
 BLOCKS = 2
 TO_A_FILTER = 4
 TOGETHER = 1024
+# Inner products with directions held at once.
+PRODUCTS = 1 << 23
 # Groups up to this size are compared by shifted rows instead of one product each.
 SMALL = 24
 
 
+@functools.lru_cache(maxsize=2 * CODES)
+def _books(words: int, dim: int, nth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The nth code's rotation and, for each block of coordinates, its directions; the same in every task."""
+    rng = np.random.default_rng([dim, nth])
+    turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+    books = []
+    for part in np.array_split(np.arange(dim), min(BLOCKS, dim)):
+        book = rng.standard_normal((words, len(part)))
+        books.append(book / np.linalg.norm(book, axis=1, keepdims=True))
+    return turn, books
+
+
 @dataclass(frozen=True)
 class Code:
     """Several codes, each a random rotation followed by ``words``^blocks directions: one of ``words`` random
@@ -45,23 +60,20 @@ class Code:
         directions = max(n, 1) * each * codes / TO_A_FILTER
         return Code(max(8, math.ceil(directions ** (1 / BLOCKS))), each, codes)
 
-    def books(self, dim: int, nth: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        rng = np.random.default_rng([dim, nth])
-        turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-        books = []
-        for part in np.array_split(np.arange(dim), min(BLOCKS, dim)):
-            book = rng.standard_normal((self.words, len(part)))
-            books.append(book / np.linalg.norm(book, axis=1, keepdims=True))
-        return turn, books
-
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of every direction with which a row of ``unit`` exceeds the cap, rows in order.
 
-        Block by block; a beginning that cannot reach the cap with the best remaining blocks is dropped.
+        Some rows at a time, as the directions of a block grow with the root of the number of vectors.
         """
+        step = max(1, PRODUCTS // self.words)
+        found = [(i, *self._decoded(unit[i : i + step])) for i in range(0, max(1, len(unit)), step)]
+        return np.concatenate([row + i for i, row, _ in found]), np.concatenate([number for _, _, number in found])
+
+    def _decoded(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Block by block; a beginning that cannot reach the cap with the best remaining blocks is dropped."""
         rows, numbers = [], []
         for nth in range(self.codes):
-            turn, books = self.books(unit.shape[1], nth)
+            turn, books = _books(self.words, unit.shape[1], nth)
             total = self.words ** len(books)
             cap = NormalDist().inv_cdf(max(0.5, 1 - self.each / total)) / math.sqrt(unit.shape[1])
             parts = np.array_split(unit @ turn, len(books), axis=1)
