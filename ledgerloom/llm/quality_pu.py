@@ -48,9 +48,10 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 1
 
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id") -> Linear | None:
-    """Model from rows whose crc32 remainder is not 0; None where there are no positives or no other texts.
+    """Model from rows whose crc32 remainder is not 0; None where there are no positives.
 
-    Trusted positives are rows labelled 1; unlabelled is the text of rows without a label. The class prior is
+    Trusted positives are rows labelled 1; unlabelled is the text of rows without a label or, where every row has
+    one, the text of all rows, whose labels are then left aside. The class prior is
     the share of 1 among all labelled rows that may be learned from, unless given.
     """
     rows = docs.select(key, "text").filter((remainder(key) != 0) & F.col("text").isNotNull())
@@ -59,6 +60,8 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     positive = [t for (t,) in drawn(known.filter("label = 1"), settings.positives, settings.chars, key)]
     others = rows.join(labels.select(key).distinct(), key, "left_anti")
     unlabelled = [t for (t,) in drawn(others, settings.unlabelled, settings.chars, key)]
+    if not unlabelled:
+        unlabelled = [t for (t,) in drawn(rows, settings.unlabelled, settings.chars, key)]
     if not positive or not unlabelled:
         return None
     prior = settings.prior if settings.prior is not None else counts.share
