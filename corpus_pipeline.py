@@ -11,23 +11,28 @@ from ledgerloom.llm.common import saved
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids``; the one with a NULL id stay if NULL is."""
-    wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, which tells documents apart and orders them: doc_id, NULL last, then the text's hash."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    return docs.select(*COLUMNS, row.alias("_row"))
+
+
+def _keep(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    return rows.join(wanted.select("_row"), "_row", "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is undetermined or too close to another; ``lang`` stays as given."""
-    found = langid.predict(docs, langid.learn(langid.learning_rows(docs)))
-    return _keep(docs, found.filter(~F.col("rejected"))).select(*COLUMNS)
+    rows = _rows(docs)
+    found = langid.predict(rows, langid.learn(langid.learning_rows(docs)), key="_row")
+    return _keep(rows, found.filter(~F.col("rejected"))).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group, and one row of it if the table repeats it."""
-    groups = simhash.near_duplicates(docs)
-    chosen = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _keep(docs, chosen).select(*COLUMNS).dropDuplicates(["doc_id"])
+    """Keeps one document of each group, that of the smallest doc_id (NULL last, then by the text's hash), once."""
+    rows = _rows(docs)
+    groups = simhash.near_duplicates(rows, key="_row")
+    return _keep(rows, groups.filter("_row = component_id")).dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +45,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents sampled towards tempered source, language and topic shares."""
-    return _keep(docs, mixing.mix(docs).filter("sampled")).select(*COLUMNS)
+    rows = _rows(docs)
+    return _keep(rows, mixing.mix(rows, key="_row").filter("sampled")).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
