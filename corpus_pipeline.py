@@ -24,7 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group, and one row of it if the table repeats it."""
+    """Keeps the document of the smallest doc_id of each group, and one row of it if the table repeats it.
+
+    Rows of one doc_id, and all rows without one, count as one document here: any one of them stays.
+    """
     groups = simhash.near_duplicates(docs)
     chosen = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     return _keep(docs, chosen).select(*COLUMNS).dropDuplicates(["doc_id"])
