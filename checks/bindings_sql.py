@@ -186,7 +186,8 @@ CTES = {
         FROM events""",
     "attributes": """
         SELECT sha256(concat_ws('|', s.id, i.user_id, m.id, CAST(i.created_at AS VARCHAR))) AS id,
-               s.id AS source_id, i.user_id, i.attr_name, m.id AS attr_meta_id, hex(encode(i.value)) AS data_hex
+               s.id AS source_id, i.user_id, i.attr_name, m.id AS attr_meta_id, hex(encode(i.value)) AS data_hex,
+               i.created_at, i.created_at AS updated_at
         FROM incoming i JOIN sources s USING (source_name) JOIN attribute_meta m USING (attr_name)""",
 }
 

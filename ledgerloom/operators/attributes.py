@@ -10,7 +10,7 @@ def ingest_attributes(incoming: DataFrame, sources: DataFrame, meta: DataFrame)
     """Attribute rows for incoming values whose source and attribute are known.
 
     ``incoming`` has source_name, user_id, attr_name, value and created_at. The id is a digest of
-    the natural key, so a repeated run gives the same rows. Values with unknown names are left out;
+    the natural key, so a repeated run gives the same rows; a row is last updated when it is made. Values with unknown names are left out;
     ``audit_fk`` lists them.
     """
     source = sources.select(F.col("id").alias("source_id"), "source_name")
@@ -28,6 +28,8 @@ def ingest_attributes(incoming: DataFrame, sources: DataFrame, meta: DataFrame)
             "attr_name",
             "attr_meta_id",
             F.encode("value", "UTF-8").alias("data"),
+            "created_at",
+            F.col("created_at").alias("updated_at"),
         )
     )
 

@@ -79,6 +79,7 @@ def test_attributes(spark):
     assert set(got) == {"email", "phone"}
     assert bytes(got["email"].data) == b"someone@example.com" and got["email"].expiration_policy == 365
     assert got["phone"].expiration_policy == 180 and got["phone"].source_id == "s1"
+    assert got["phone"].created_at == got["phone"].updated_at == "t1"
     again = attributes.ingest_attributes(incoming, sources, meta)
     assert {r.id for r in again.collect()} == {r.id for r in rows.collect()}
 
