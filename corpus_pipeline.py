@@ -11,26 +11,21 @@ from ledgerloom.llm.common import saved
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids``; the one with a NULL id stay if NULL is."""
-    wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is undetermined or too close to another; ``lang`` stays as given."""
-    found = langid.predict(docs, langid.learn(langid.learning_rows(docs)))
-    return _keep(docs, found.filter(~F.col("rejected"))).select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    return langid.accepted(rows, langid.learn(langid.learning_rows(rows)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group, and one row of it if the table repeats it.
+    """Keeps one document of each group, that of the smallest doc_id (NULL last, then by the text's hash), once.
 
-    Rows of one doc_id, and all rows without one, count as one document here: any one of them stays.
+    A document is a doc_id and a text, so rows without a doc_id or with a repeated one stay unless they are copies.
     """
-    groups = simhash.near_duplicates(docs)
-    chosen = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _keep(docs, chosen).select(*COLUMNS).dropDuplicates(["doc_id"])
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    rows = docs.select(*COLUMNS, row.alias("_row"))
+    chosen = simhash.near_duplicates(rows, key="_row").filter("_row = component_id").select("_row")
+    return rows.join(chosen, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +38,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents sampled towards tempered source, language and topic shares."""
-    return _keep(docs, mixing.mix(docs).filter("sampled")).select(*COLUMNS)
+    rows = docs.select("doc_id", "text", "lang", "source", F.struct(*COLUMNS).alias("_row"))
+    return mixing.mix(rows, carried=("_row",)).filter("sampled").select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,23 @@ def predict(
     return docs.select(key, "text").mapInArrow(run, schema)
 
 
+def accepted(
+    docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings = Settings(), text: str = "text"
+) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that ``predict`` does not reject.
+
+    Each row is judged by its text where it is read, so nothing is shuffled and rows need no key.
+    """
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classify = Classifier(dictionaries, settings)
+        for batch in batches:
+            yield batch.filter(pa.array([not classify(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learning_rows(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows that may be learned from: those whose crc32 remainder is not 0."""
     return docs.filter(remainder(key) != 0)

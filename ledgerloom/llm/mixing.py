@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +30,16 @@ def topic(text: str = "text") -> Column:
     )
 
 
-def described(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, source, lang, topic, tokens, _draw): what mixing needs of each document; NULL labels are a class."""
+def described(docs: DataFrame, key: str = "doc_id", carried: Sequence[str] = ()) -> DataFrame:
+    """(key, source, lang, topic, tokens, _draw): what mixing needs of each document; NULL labels are a class.
+
+    Columns named in ``carried`` come along as they are.
+    """
     return docs.select(
         key, *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")],
         F.coalesce(topic(), F.lit(NONE)).alias("topic"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("tokens"),
-        _draw(key).alias("_draw"),
+        _draw(key).alias("_draw"), *carried,
     )
 
 
@@ -86,7 +90,8 @@ def rake(
 
 
 def mix(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, key: str = "doc_id", power: float = TEMPER
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, key: str = "doc_id", power: float = TEMPER,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """(key, source, lang, topic, tokens, weight, probability, sampled) for every row of ``docs``.
 
@@ -95,9 +100,9 @@ def mix(
     target proportions exactly; ``sampled`` draws by a hash of key and text. Without targets each dimension's
     natural shares are tempered by ``power``. NULL source, lang and text are the class ``(none)``. Documents
     without a word have no mass: their cell's weight if it has one, else 1, and probability 1. Rows repeated
-    share their fate. An empty table gives an empty result.
+    share their fate. An empty table gives an empty result. Columns named in ``carried`` follow the others.
     """
-    rows = described(docs, key)
+    rows = described(docs, key, carried)
     cells = saved(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
     fitted = rake(cells, targets or {d: tempered(cells, d, power) for d in DIMENSIONS})
     ratios = saved(fitted.select(*DIMENSIONS, (F.col("weight") / F.col("tokens")).alias("weight")))
@@ -108,5 +113,5 @@ def mix(
     probability = F.when(empty, F.lit(1.0)).otherwise(F.least(F.col("_weight") / F.lit(most), F.lit(1.0)))
     return rows.join(named, same, "left").select(
         key, *DIMENSIONS, "tokens", F.coalesce("_weight", F.lit(1.0)).alias("weight"),
-        probability.alias("probability"), (F.col("_draw") < probability).alias("sampled"),
+        probability.alias("probability"), (F.col("_draw") < probability).alias("sampled"), *carried,
     )

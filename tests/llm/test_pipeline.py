@@ -34,3 +34,18 @@ def test_messy_and_empty_tables(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = saved(stage(spark, docs, SF))
             assert (docs.count() > 0) == bool(rows), name
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not found")
+def test_rows_without_their_own_id_stay_unless_copies(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.near_duplicates(spark, saved(corpus_pipeline.language_id(spark, docs, SF)), SF)
+    apart = sorted(kept.collect(), key=lambda r: r.doc_id)[:60]
+    rows = [(None if i < 20 else 7 if i < 40 else r.doc_id, *r[1:]) for i, r in enumerate(apart)]
+    again = spark.createDataFrame(rows + rows[10:30] + [(None, *rows[50][1:])], kept.schema)
+    found = corpus_pipeline.near_duplicates(spark, again, SF).collect()
+    assert sorted(map(str, found)) == sorted(str(r) for r in spark.createDataFrame(rows, kept.schema).collect())
+    accepted = corpus_pipeline.language_id(spark, saved(docs.unionByName(again)), SF)
+    assert accepted.filter("doc_id is null").count() >= 30
+    mixed = corpus_pipeline.mixture(spark, again, SF).collect()
+    assert mixed and {tuple(r) for r in mixed} <= {tuple(r) for r in again.collect()}
