@@ -1,4 +1,4 @@
-"""Embedding near-duplicates by spherical-cap filters whose directions form a structured random product code."""
+"""Embedding near-duplicates by filters: the nearest directions of structured random product codes."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -17,19 +16,21 @@ from ledgerloom.llm.common import saved, spread
 from ledgerloom.llm.components import connected_components
 
 THRESHOLD = 0.9
-# Filters a vector exceeds in each code, codes, blocks of a code, vectors to a filter, and vectors compared at once.
+# Filters of a vector in each code, codes, blocks of a code, vectors to a filter, and vectors compared at once.
 FILTERS_EACH = 8
 CODES = 6
+# Above so many vectors two codes are added for each tenfold, as a pair shares fewer filters of a finer code.
+CODES_UPTO = 1_000_000
 BLOCKS = 2
 TO_A_FILTER = 4
 TOGETHER = 1024
 # Inner products with directions held at once.
-PRODUCTS = 1 << 23
+PRODUCTS = 1 << 22
 # Groups up to this size are compared by shifted rows instead of one product each.
 SMALL = 24
 
 
-@functools.lru_cache(maxsize=2 * CODES)
+@functools.lru_cache(maxsize=4 * CODES)
 def _books(words: int, dim: int, nth: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The nth code's rotation and, for each block of coordinates, its directions; the same in every task."""
     rng = np.random.default_rng([dim, nth])
@@ -46,9 +47,10 @@ class Code:
     """Several codes, each a random rotation followed by ``words``^blocks directions: one of ``words`` random
     unit vectors in each block of coordinates.
 
-    The number of directions follows the number of vectors, so that a filter holds a few of them at every size;
-    the cap shrinks with it so that a vector exceeds ``each`` of every code on average. A single code leaves
-    some vectors with few filters, several even that out.
+    A vector goes to the ``each`` directions of every code with which its inner product is largest, whatever
+    the distribution of the products, so it has as many filters at every size. The number of directions follows
+    the number of vectors, so that a filter holds a few of them. A single code leaves some pairs with few shared
+    filters, several even that out.
     """
 
     words: int
@@ -57,41 +59,40 @@ class Code:
 
     @staticmethod
     def of(n: int, each: int = FILTERS_EACH, codes: int = CODES) -> Code:
-        directions = max(n, 1) * each * codes / TO_A_FILTER
-        return Code(max(8, math.ceil(directions ** (1 / BLOCKS))), each, codes)
+        more = max(0, math.ceil(2 * math.log10(max(n, 1) / CODES_UPTO)))
+        return Code(max(8, math.ceil((max(n, 1) * each / TO_A_FILTER) ** (1 / BLOCKS))), each, codes + more)
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of every direction with which a row of ``unit`` exceeds the cap, rows in order.
+        """(row, filter) of the directions nearest to each row of ``unit``, rows in order.
 
         Some rows at a time, as the directions of a block grow with the root of the number of vectors.
         """
         step = max(1, PRODUCTS // self.words)
-        found = [(i, *self._decoded(unit[i : i + step])) for i in range(0, max(1, len(unit)), step)]
-        return np.concatenate([row + i for i, row, _ in found]), np.concatenate([number for _, _, number in found])
+        found = [self._decoded(unit[i : i + step]) for i in range(0, max(1, len(unit)), step)]
+        numbers = np.concatenate(found)
+        return np.repeat(np.arange(len(unit)), numbers.shape[1]), numbers.ravel()
 
-    def _decoded(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Block by block; a beginning that cannot reach the cap with the best remaining blocks is dropped."""
-        rows, numbers = [], []
+    def _decoded(self, unit: np.ndarray) -> np.ndarray:
+        """Block by block: the largest sums are made of each block's largest products alone."""
+        numbers = []
         for nth in range(self.codes):
             turn, books = _books(self.words, unit.shape[1], nth)
-            total = self.words ** len(books)
-            cap = NormalDist().inv_cdf(max(0.5, 1 - self.each / total)) / math.sqrt(unit.shape[1])
-            parts = np.array_split(unit @ turn, len(books), axis=1)
-            scores = [p @ b.T / math.sqrt(len(books)) for p, b in zip(parts, books)]
-            rest = np.zeros((len(books) + 1, len(unit)))
-            for k in range(len(books) - 1, -1, -1):
-                rest[k] = rest[k + 1] + scores[k].max(axis=1)
-            row, code, reached = np.arange(len(unit)), np.zeros(len(unit), dtype=np.int64), np.zeros(len(unit))
-            for k, s in enumerate(scores):
-                new = reached[:, None] + s[row]
-                keep = new >= (cap - rest[k + 1])[row][:, None]
-                at, word = np.nonzero(keep)
-                row, code, reached = row[at], code[at] * self.words + word, new[keep]
-            rows.append(row)
-            numbers.append(code + nth * total)
-        row, number = np.concatenate(rows), np.concatenate(numbers)
-        order = np.argsort(row, kind="stable")
-        return row[order], number[order]
+            reached, code = np.zeros((len(unit), 1)), np.zeros((len(unit), 1), dtype=np.int64)
+            for part, book in zip(np.array_split(unit @ turn, len(books), axis=1), books):
+                score, word = _largest(part @ book.T, self.each)
+                sums = (reached[:, :, None] + score[:, None, :]).reshape(len(unit), -1)
+                codes = (code[:, :, None] * self.words + word[:, None, :]).reshape(len(unit), -1)
+                reached, at = _largest(sums, self.each)
+                code = np.take_along_axis(codes, at, axis=1)
+            numbers.append(code + nth * self.words ** len(books))
+        return np.concatenate(numbers, axis=1)
+
+
+def _largest(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``n`` largest values of each row, in no order, and their places."""
+    n = min(n, x.shape[1])
+    at = np.argpartition(x, x.shape[1] - n, axis=1)[:, x.shape[1] - n :]
+    return np.take_along_axis(x, at, axis=1), at
 
 
 def _unit(vectors: list[list[float]]) -> np.ndarray:
@@ -101,7 +102,7 @@ def _unit(vectors: list[list[float]]) -> np.ndarray:
 
 
 def _entries(code: Code, payload: bool):
-    """Rows (filter, dim[, id, copies, vec]) for every filter that a vector exceeds."""
+    """Rows (filter, dim[, id, copies, vec]) for every filter of a vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -211,7 +212,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(key, n_links, component_id, kept) for every row of ``vectors``; the key is an integer.
 
-    Equal vectors are one node with its number of copies. Each vector goes to every filter it exceeds, vectors
+    Equal vectors are one node with its number of copies. Each vector goes to its filters in every code, vectors
     that share a filter are compared in double precision, and a pair is counted in the smallest filter the two
     share, so no list of pairs is ever made. A filter of more than ``together`` vectors is cut into that many
     parts, and each pair of parts is a group of its own, so that a crowd is many tasks. Every pair that shares

@@ -253,6 +253,21 @@ def test_caps_find_nearly_all_pairs(spark):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
 
 
+@pytest.mark.parametrize("n", [2_000, 100_000, 1_000_000, 10_000_000])
+def test_pairs_share_filters_at_every_size(n):
+    """Random pairs at the threshold, with the directions that a table of n vectors gets."""
+    rng = np.random.default_rng(17)
+    x, y = rng.standard_normal((2, 400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + math.sqrt(1 - 0.9**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    code = caps.Code.of(n)
+    of = [f.reshape(len(x), -1) for _, f in map(code.decode, (x, y))]
+    assert all(f.shape[1] == code.each * code.codes == len(set(f[0])) for f in of)
+    shared = np.array([len(set(a) & set(b)) for a, b in zip(*map(np.ndarray.tolist, of))])
+    assert shared.mean() > 5 and np.mean(shared > 0) >= 0.99
+
+
 def brute_counts(text):
     import re
     ws = re.findall(r"[^\x20\x09-\x0D]+", text or "")
