@@ -35,8 +35,11 @@ CHUNK_BYTES = 4_000_000
 # A pair's key has at least this many bits more than it takes to count the corpus's bytes, in whole bytes: less
 # than one pair in a hundred thousand shares its key.
 SPARE_BITS = 18
-# A dish with more customers than this is seated in sections of so many, all alike.
+# Up to so many customers the steps of the Stirling numbers are a table of all sizes.
 SECTION = 32
+# Above, rows of steps up to so many tables are kept for some sizes: all up to the first, then sizes a hundredth apart.
+# They follow the exact recurrence up to the second, and its differential equation after.
+WIDTH, EVERY, EXACT = 2048, 1024, 4096
 _SHRINK, _EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _SLICE = 1 << 20
@@ -99,19 +102,141 @@ def stirling_steps(discount: float) -> np.ndarray:
     return _STEPS[discount]
 
 
+class Steps:
+    """S(c, t + 1) / S(c, t) for any c above SECTION, of one discount; sizes are added as larger ones are asked for.
+
+    A ratio depends on those of one customer less at t and t - 1 alone, so rows cut at WIDTH are right up to there.
+    """
+
+    def __init__(self, discount: float):
+        self.discount, self.c, self.now = discount, 1, np.zeros(WIDTH)
+        self.every = np.zeros((EVERY + 1, EVERY), dtype=np.float32)
+        self.sizes, self.rows = np.array([EVERY]), np.zeros((1, WIDTH), dtype=np.float32)
+
+    def _next(self) -> None:
+        """One customer more; above EXACT some, towards the value at which a ratio rests given its neighbour."""
+        d, t, c = self.discount, np.arange(1, WIDTH + 1), self.c
+        with np.errstate(divide="ignore", invalid="ignore"):
+            before = np.concatenate(([0.0], 1 / self.now[:-1]))
+            if c < EXACT:
+                self.now, self.c = (1 + (c - (t + 1) * d) * self.now) / (before + c - t * d), c + 1
+                self.now[min(c, WIDTH):] = 0
+                return
+            more = max(1, c // 500)
+            rest, rate = 1 / (before + d), (before + d) / (1 + (before - t * d) / c)
+            # the neighbour moves meanwhile: once more with the mean of it before and after
+            new = rest + (self.now - rest) * (1 + more / c) ** -rate
+            before = np.concatenate(([0.0], 2 / (self.now + new)[:-1]))
+            rest, rate = 1 / (before + d), (before + d) / (1 + (before - t * d) / (c + more / 2))
+            self.now, self.c = rest + (self.now - rest) * (1 + more / c) ** -rate, c + more
+
+    def reach(self, c: int) -> None:
+        sizes, rows = [], []
+        while self.c < EVERY or self.sizes[-1] < c and not (sizes and sizes[-1] >= c):
+            self._next()
+            if self.c <= EVERY:
+                self.every[self.c] = self.now[:EVERY]
+                self.rows[0] = self.now
+            elif self.c >= (sizes or self.sizes)[-1] * 1.01:
+                sizes.append(self.c)
+                rows.append(self.now.astype(np.float32))
+        if sizes:
+            self.sizes, self.rows = np.concatenate((self.sizes, sizes)), np.concatenate((self.rows, rows))
+
+    def __call__(self, c: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """For each of ``c`` the steps from 1, 2 .. ``upto`` tables, in rows as long as the longest; zero from t = c on."""
+        self.reach(int(c.max()))
+        steps, some = np.zeros((len(c), int(upto.max()))), c <= EVERY
+        width = min(steps.shape[1], EVERY)
+        steps[some, :width] = self.every[c[some], :width]
+        if not some.all():
+            many, width = np.flatnonzero(~some), min(steps.shape[1], WIDTH)
+            high = np.searchsorted(self.sizes, c[many])
+            low, high = self.sizes[high - 1], high
+            share = (np.log(c[many] / low) / np.log(self.sizes[high] / low))[:, None]
+            steps[many, :width] = share * self.rows[high, :width] + (1 - share) * self.rows[high - 1, :width]
+            # of many tables among sizes apart, and beyond WIDTH
+            for i in many[upto[many] > np.minimum(c[many] // 4, WIDTH)]:
+                beyond = min(int(c[i]) // 4, WIDTH)
+                steps[i, beyond : upto[i]] = saddle_steps(self.discount, int(c[i]), np.arange(beyond + 1, upto[i] + 1))
+        return steps
+
+
+def saddle_steps(discount: float, c: int, t: np.ndarray) -> np.ndarray:
+    """S(c, t + 1) / S(c, t) for many tables, from S(c, t) = c! / (t! d^t) [z^c] (1 - (1 - z)^d)^t at its saddle."""
+    d, each = discount, np.append(t, t[-1] + 1).astype(np.float64) if len(t) else np.zeros(0)
+    if not len(t):
+        return each
+    low, high = np.full(len(each), -700.0), np.zeros(len(each))  # log(1 - z)
+    for _ in range(60):
+        mid = (low + high) / 2
+        w = np.exp(mid)
+        above = -np.expm1(mid) * d * w ** (d - 1) * each > c * -np.expm1(d * mid)
+        low, high = np.where(above, mid, low), np.where(above, high, mid)
+    w = np.exp((low + high) / 2)
+    z, f = 1 - w, 1 - w**d
+    slope = z * d * w ** (d - 1) / f  # z f' / f
+    variance = slope * (1 + z * (1 - d) / w - slope)
+    # t = c is z = 0, where all is one term
+    last = each >= c
+    value = np.where(last, 0.0, each * np.log(np.where(last, 1, f)) - c * np.log(np.where(last, 1, z)) - np.log(np.where(last, 1, 2 * np.pi * each * variance)) / 2)
+    value = np.where(last, c * np.log(d), value)
+    return np.exp(np.diff(value)) / (each[1:] * d)
+
+
+_ALL_STEPS: dict[float, Steps] = {}
+
+
+def _tables_of_many(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strength: np.ndarray, discount: float) -> np.ndarray:
+    """``tables`` for dishes of more than SECTION customers.
+
+    S(c, t + 1) / S(c, t) stays below 1 / (t d), so the tables after the first stay below a negative binomial,
+    and the sum ends where nothing of that is left.
+    """
+    if discount not in _ALL_STEPS:
+        _ALL_STEPS.clear() if len(_ALL_STEPS) > 3 else None
+        _ALL_STEPS[discount] = Steps(discount)
+    steps_of = _ALL_STEPS[discount]
+    uniform = (_mixed(keys) >> np.uint64(11)).astype(np.float64) / 2.0**53
+    p = np.minimum(parent, 1 - 1e-9)
+    mean = (strength / discount + 1) * p / (1 - p)
+    upto = np.minimum(c - 1, np.ceil(mean + 8 * np.sqrt(mean / (1 - p)) - 36 / np.log(p))).astype(np.int64)
+    out, order, a = np.ones(len(c), dtype=np.int64), np.lexsort((upto, mean > 500)), 0
+    few = int((mean <= 500).sum())
+    while a < len(c):
+        # some of like width at once
+        stop = few if a < few else len(c)
+        b = a + int(np.searchsorted(upto[order[a:stop]], max(16, 3 * upto[order[a]] // 2), side="right"))
+        b = min(b, a + max(1, (1 << 18) // int(upto[order[b - 1]])))
+        at = order[a:b]
+        more = steps_of(c[at], upto[at])
+        more *= parent[at][:, None] * (strength[at][:, None] + discount * np.arange(1, more.shape[1] + 1))
+        if a < few:  # the largest weight is below exp(mean)
+            weight = np.cumprod(more, axis=1, out=more)
+            top = np.ones(len(at))
+        else:
+            with np.errstate(divide="ignore"):
+                weight = np.cumsum(np.log(more), axis=1)
+            top = np.maximum(weight.max(axis=1), 0)
+            weight, top = np.exp(weight - top[:, None]), np.exp(-top)
+        upper = np.cumsum(weight, axis=1, out=weight) + top[:, None]
+        bar = uniform[at] * upper[:, -1]
+        out[at] = 1 + (bar >= top) + (upper[:, :-1] <= bar[:, None]).sum(axis=1)
+        a = b
+    return np.minimum(out, c)
+
+
 def tables(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strength: np.ndarray, discount: float) -> np.ndarray:
     """One blocked Gibbs draw of each dish's number of tables from its exact conditional.
 
     P(t) is proportional to S(c, t) * parent^t * strength (strength + d) ... (strength + (t - 1) d), the seating
-    of all other dishes fixed. More than SECTION customers: full sections draw once and count each.
+    of all other dishes fixed.
     """
     if len(c) and c.max() > SECTION:
         big = c > SECTION
         out = np.empty(len(c), dtype=np.int64)
         out[~big] = tables(keys[~big], c[~big], parent[~big], strength[~big], discount)
-        full, left = c[big] // SECTION, c[big] % SECTION
-        whole = tables(keys[big], np.full(len(full), SECTION), parent[big], strength[big], discount)
-        out[big] = full * whole + tables(keys[big] + np.uint64(1 << 32), left, parent[big], strength[big], discount)
+        out[big] = _tables_of_many(keys[big], c[big], parent[big], strength[big], discount)
         return out
     out = np.minimum(c, 1).astype(np.int64)
     uniform = (_mixed(keys) >> np.uint64(11)).astype(np.float64) / 2.0**53

@@ -348,6 +348,25 @@ def test_table_draws_follow_the_exact_conditional():
     assert np.allclose(np.bincount(drawn, minlength=4)[1:] / n, weight / weight.sum(), atol=0.01)
 
 
+@pytest.mark.parametrize("c", [40, 1_000, 100_000])
+@pytest.mark.parametrize("p, strength", [(0.001, 500.0), (0.01, 500.0), (0.002, 20_000.0)])
+def test_table_draws_of_large_dishes_level_off(c, p, strength):
+    """Against the mean of the conditional by the whole recurrence of the Stirling ratios, one customer at a time."""
+    d, n, width = 0.7, 8_000, min(c - 1, 400)
+    ratio, t = np.zeros(width), np.arange(1, width + 1)
+    with np.errstate(divide="ignore"):
+        for k in range(1, c):
+            ratio = (1 + (k - (t + 1) * d) * ratio) / (np.concatenate(([0.0], 1 / ratio[:-1])) + k - t * d)
+            ratio[k:] = 0
+        log = np.concatenate(([0.0], np.cumsum(np.log(p * (strength + d * t) * ratio))))
+    weight = np.exp(log - log.max())
+    weight /= weight.sum()
+    mean = (weight * np.arange(1, width + 2)).sum()
+    spread = math.sqrt((weight * (np.arange(1, width + 2) - mean) ** 2).sum())
+    drawn = hpylm.tables(np.arange(n, dtype=np.uint64) * np.uint64(977), np.full(n, c), np.full(n, p), np.full(n, strength), d)
+    assert abs(drawn.mean() - mean) < 5 * spread / math.sqrt(n) and math.isclose(drawn.std(), spread, rel_tol=0.1)
+
+
 def test_language_model_base_and_gain(spark, docs):
     got = {r.doc_id: r for r in hpylm.log_likelihood(docs).collect()}
     tokens = {i: [*(t or "").split(), None] for i, t, *_ in corpus()}
