@@ -14,49 +14,102 @@ from ledgerloom.llm.common import fresh, key_type, saved
 
 # A unit below this many words is too common to mean anything and is never compared.
 LEAST_WORDS = 5
-# A line is cut after a sentence once it has this many words, so that a passage set into different lines is found.
+# Runs of sentences within a line are compared from this many words on, so that a passage set into different lines
+# is found.
 RUN_WORDS = 10
-SENTENCE_END = re.compile(r"[.!?]+\s+")
+# A sentence above this many words is cut further, behind the word pairs whose hash is the smallest so far around.
+LONG_WORDS, AROUND = 30, 3
+SENTENCE_END = re.compile(r"[.!?]+\s+|[。！？｡।]+\s*")
+# Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Chinese. Two characters count as a word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{UNSPACED}]")
+_WORD = re.compile(r"\S+")
+_TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
+
+
+def count_words(text: str) -> float:
+    """Words, or half the characters where the script has no spaces."""
+    if text.isascii() or not _UNSPACED.search(text):
+        return len(text.split())
+    return sum(0.5 if _UNSPACED.match(x) else 1 for x in _TOKEN.findall(text))
+
+
+def hashed_cuts(text: str) -> list[int]:
+    """Places in a text, each before a word, that depend on the few words around alone."""
+    lower = text.lower() if len(text.lower()) == len(text) else text
+    spaced = text.isascii() or not _UNSPACED.search(text)
+    tokens = list((_WORD if spaced else _TOKEN).finditer(lower))
+    words, size = [m.group() for m in tokens], len(tokens)
+    digest = xxhash.xxh3_64_intdigest
+    if spaced:
+        marks = [1 << 64, *(digest(f"{a} {b}") for a, b in zip(words, words[1:]))]
+        around = [AROUND] * size
+    else:
+        around = [2 * AROUND if _UNSPACED.match(w) else AROUND for w in words]
+        marks = [1 << 64, *(digest(" ".join(words[max(0, i - a // 2 - 1) : i + a // 2])) for i, a in enumerate(around[1:], 1))]
+    found, i = [], 1
+    while i < size:
+        a = around[i]
+        # the first of the smallest within ``a`` words on both sides
+        if a <= i <= size - a and marks[i] < min(marks[i - a : i]) and marks[i] == min(marks[i : i + a + 1]):
+            found.append(tokens[i].start())
+        i += 1
+    return found
 
 
 def units(text: str, run_words: int = RUN_WORDS, least: int = LEAST_WORDS) -> Iterator[tuple[int, int, str]]:
-    """(start, end, normalised unit) of a text, in order.
+    """(start, end, normalised unit) of a text, in order of start and of end; units of a line may overlap.
 
-    A unit is a line, or a part of a long line: a line is cut behind each sentence end that leaves at least
-    ``run_words`` words since the last cut, the rest joining the part before when shorter. Cuts depend on the
-    words near them alone. Normalised: lower-cased, white space single. ``end`` takes in the white space up to
-    the next unit. Units of fewer than ``least`` words are passed over.
+    A line is cut behind every sentence end, long sentences at places picked by a hash of the words around, so
+    cuts depend on the words near them alone. From each part on, the shortest run of parts of at least
+    ``run_words`` words is a unit; a line of fewer words is one. Normalised: lower-cased, white space single.
+    ``end`` takes in the white space up to the next part. Lines of fewer than ``least`` words are passed over.
     """
-    at = 0
+    at, spaced = 0, text.isascii() or not _UNSPACED.search(text)
     for line in text.split("\n"):
-        stop = at + len(line)
-        spans, begin, n = [], at, 0
-        last = at
-        for m in SENTENCE_END.finditer(line):
-            cut = at + m.end()
-            n += len(text[last:cut].split())
-            last = cut
-            if n >= run_words:
-                spans.append([begin, cut])
-                begin, n = cut, 0
-        if begin < stop or not spans:
-            if spans and len(text[begin:stop].split()) < run_words:
-                spans[-1][1] = stop
+        stop, begin, parts, total = at + len(line), 0, [], 0
+        for end in [*(m.end() for m in SENTENCE_END.finditer(line)), len(line)]:
+            if end == begin:
+                continue
+            part = line[begin:end]
+            words = part.lower().split()
+            n = len(words) if spaced else count_words(part)
+            if n > LONG_WORDS:
+                inner = [begin, *(begin + x for x in hashed_cuts(part)), end]
+                for c, d in zip(inner, inner[1:]):
+                    words = line[c:d].lower().split()
+                    m = len(words) if spaced else count_words(line[c:d])
+                    parts.append((at + c, at + d, m, words))
+                    total += m
             else:
-                spans.append([begin, stop])
-        spans[-1][1] = min(stop + 1, len(text))
-        for a, b in spans:
-            ws = text[a:b].lower().split()
-            if len(ws) >= least:
-                yield a, b, " ".join(ws)
+                parts.append((at + begin, at + end, n, words))
+                total += n
+            begin = end
+        beyond = min(stop + 1, len(text))
+        if total < run_words:
+            if parts and total >= least:
+                yield at, beyond, " ".join([w for *_, ws in parts for w in ws])
+        else:
+            last, n, size = 0, 0, len(parts)
+            for i, (a, _, own, words) in enumerate(parts):
+                while last < size and n < run_words:
+                    n += parts[last][2]
+                    last += 1
+                if n < run_words:
+                    break
+                if n >= least:
+                    if last > i + 1:
+                        words = text[a : parts[last - 1][1]].lower().split()
+                    yield a, beyond if last == size else parts[last - 1][1], " ".join(words)
+                n -= own
         at = stop + 1
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the spans, which are in order and do not overlap."""
+    """``text`` without the spans, which are in order of start and of end and may overlap."""
     kept, at = [], 0
     for a, b in spans:
-        kept.append(text[at:a])
+        kept.append(text[at:a])  # nothing where spans overlap
         at = b
     kept.append(text[at:])
     return "".join(kept)
@@ -115,15 +168,16 @@ def repeated_units(
         .select("high", "low", "first", F.coalesce("of_first", "of_null").alias("first_version"))
     )
     here = F.col(key).eqNullSafe(F.col("first")) & (F.col("version") == F.col("first_version"))
-    across = found.filter("not again").join(first, ["high", "low"]).filter(~here).select(key, "version", "span")
     # a unit that repeats inside its own document goes wherever the first one is kept
-    return across.unionByName(found.filter("again").select(key, "version", "span"))
+    gone = F.col("again") | (F.col("first_version").isNotNull() & ~here)
+    return found.join(first, ["high", "low"], "left").filter(gone).select(key, "version", "span")
 
 
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", run_words: int = RUN_WORDS, least: int = LEAST_WORDS
 ) -> DataFrame:
-    """Every row of ``docs`` with ``text`` cleaned and ``removed``: array of (start, end) cut from the original.
+    """Every row of ``docs`` with ``text`` cleaned and ``removed``: array of (start, end) cut from the original;
+    spans of repeats that run into each other overlap.
 
     All columns are kept; a column of ``docs`` named ``removed`` is replaced. NULL text stays NULL, and a text
     without repeated units stays as it is, with an empty array. A row repeated with the same key and text is

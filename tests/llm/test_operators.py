@@ -189,6 +189,38 @@ def test_units_find_a_passage_set_into_other_lines():
     assert len(one & two) >= 4
 
 
+def unspaced(rng, n):
+    return "".join(chr(0x4E00 + rng.randrange(900)) for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["short", "mixed", "unstopped", "unspaced", "unspaced unstopped"])
+def test_passages_of_sixty_words_are_found_between_other_text(kind):
+    """Of each passage between different text, some unit is shared and most of its words are in shared units."""
+    rng, shares = random.Random(18), []
+
+    def some(words):
+        out, n = [], 0
+        while n < words:
+            k = {"short": rng.randrange(6, 9), "mixed": rng.randrange(5, 10)}.get(kind, rng.randrange(6, 15))
+            n += k
+            unit = unspaced(rng, 2 * k) if "unspaced" in kind else sentence(rng, k)
+            out.append(unit.rstrip(".") if "unstopped" in kind else unit.rstrip(".") + ("。" if kind == "unspaced" else "."))
+        return ("" if "unspaced" in kind else " ").join(out) + ("" if "unspaced" in kind else " ")
+
+    for _ in range(100):
+        passage = some(60)
+        one = some(rng.randrange(5, 60)) + passage + some(rng.randrange(5, 60))
+        two = some(rng.randrange(5, 60)) + passage + some(rng.randrange(5, 60))
+        known, marked = {u for *_, u in substring.units(one)}, set()
+        for a, b, unit in substring.units(two):
+            assert unit == " ".join(two[a:b].lower().split())
+            if unit in known:
+                marked |= set(range(a, b))
+        start = two.index(passage)
+        shares.append(len(marked & set(range(start, start + len(passage)))) / len(passage))
+    assert np.mean([x > 0 for x in shares]) >= 0.99 and np.mean(shares) > 0.6
+
+
 def numpy_rake(cells, targets, total):
     w = {k: float(v) for k, v in cells.items() if v > 0}
     for _ in range(500):
