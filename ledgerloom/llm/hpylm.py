@@ -194,7 +194,7 @@ def _tables_of_many(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strengt
     and the sum ends where nothing of that is left.
     """
     if discount not in _ALL_STEPS:
-        _ALL_STEPS.clear() if len(_ALL_STEPS) > 3 else None
+        _ALL_STEPS.clear()  # one discount at a time: rows take memory and are soon made again
         _ALL_STEPS[discount] = Steps(discount)
     steps_of = _ALL_STEPS[discount]
     uniform = (_mixed(keys) >> np.uint64(11)).astype(np.float64) / 2.0**53
@@ -207,7 +207,7 @@ def _tables_of_many(keys: np.ndarray, c: np.ndarray, parent: np.ndarray, strengt
         # some of like width at once
         stop = few if a < few else len(c)
         b = a + int(np.searchsorted(upto[order[a:stop]], max(16, 3 * upto[order[a]] // 2), side="right"))
-        b = min(b, a + max(1, (1 << 18) // int(upto[order[b - 1]])))
+        b = min(b, a + max(1, (1 << 16) // int(upto[order[b - 1]])))
         at = order[a:b]
         more = steps_of(c[at], upto[at])
         more *= parent[at][:, None] * (strength[at][:, None] + discount * np.arange(1, more.shape[1] + 1))
