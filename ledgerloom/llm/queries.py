@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import caps, hpylm, langid, mixing, packing, quality_pu, quality_rules, simhash, substring, toxicity
+from ledgerloom.llm import alignment, caps, hpylm, langid, mixing, packing, quality_pu, quality_rules, simhash, substring, toxicity
 from ledgerloom.llm.common import remainder
 
 
@@ -63,10 +63,15 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(_table(spark, sf_dir, "documents")).documents(digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pitman_yor, op2_simhash, op3_mixing, op4_packing, op5_toxicity, op6_language, op7_substring, op8_embeddings,
-        op9_quality, op10_rules,
+        op9_quality, op10_rules, op13_alignment,
     )}
 
 
