@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import alignment, caps, hpylm, langid, mixing, packing, quality_pu, quality_rules, simhash, substring, toxicity
+from ledgerloom.llm import (
+    alignment, caps, hard_negatives, hpylm, langid, mixing, multi_index, packing, quality_pu, quality_rules, simhash,
+    substring, toxicity,
+)
 from ledgerloom.llm.common import remainder
 
 
@@ -63,6 +66,17 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return multi_index.nearest(rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(_table(spark, sf_dir, "documents")).documents(digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
@@ -71,7 +85,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pitman_yor, op2_simhash, op3_mixing, op4_packing, op5_toxicity, op6_language, op7_substring, op8_embeddings,
-        op9_quality, op10_rules, op13_alignment,
+        op9_quality, op10_rules, op11_hamming, op12_negatives, op13_alignment,
     )}
 
 
