@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.revenue import VAT, cycle_label, days_late
+from ledgerloom.operators.audit import FIRST_DAY, LAST_DAY, audit_overlaps
 from ledgerloom.plans.ranking import ranked
 
 # Percent of the fee by country, agreement dates, loan ordinal and lateness.
@@ -33,8 +34,53 @@ USD_AMOUNTS = {
 }
 
 
+def _kinds(ordinal: str, regular_only: bool) -> set[tuple[str, str]]:
+    """What loans a rate is for: (ordinal, kind)."""
+    ordinals = ("first", "later") if ordinal == "any" else (ordinal,)
+    return {(o, k) for o in ordinals for k in (("regular",) if regular_only else ("regular", "refill"))}
+
+
+def _clashes(rates) -> list[tuple]:
+    """Pairs of rate rows that would both apply to some loan: a sweep over the periods of each country and kind."""
+    found, by_kind = [], {}
+    for row in rates:
+        for kind in _kinds(row[3], row[4]):
+            by_kind.setdefault((row[0], *kind), []).append(row)
+    for rows in by_kind.values():
+        reach = None
+        for row in sorted(rows, key=lambda r: r[1] or FIRST_DAY):
+            if reach is not None and (reach[2] or LAST_DAY) >= (row[1] or FIRST_DAY):
+                found.append((reach, row))
+            if reach is None or (row[2] or LAST_DAY) > (reach[2] or LAST_DAY):
+                reach = row
+    return found
+
+
+def rate_overlaps(rates: DataFrame) -> DataFrame:
+    """Rows of a rate table whose period overlaps an earlier one that is for the same loans."""
+    kinds = rates.withColumn("_n", F.monotonically_increasing_id()).withColumns({
+        "_ordinal": F.explode(F.when(F.col("ordinal") == "any", F.array(F.lit("first"), F.lit("later"))).otherwise(F.array("ordinal"))),
+    }).withColumn(
+        "_kind", F.explode(F.when(F.col("regular_only"), F.array(F.lit("regular"))).otherwise(F.array(F.lit("regular"), F.lit("refill"))))
+    )
+    found = audit_overlaps(kinds, ["rate_country", "_ordinal", "_kind"], "valid_from", "valid_until", "_n")
+    return found.dropDuplicates(["_n"]).select(*rates.columns, "reaches")
+
+
+def checked_rates(rates: DataFrame) -> DataFrame:
+    """``rates`` where no two rows apply to one loan; otherwise an error, as the loan's row would be doubled."""
+    clash = rate_overlaps(rates).first()
+    if clash:
+        raise ValueError(f"rates overlap: {clash.asDict()}")
+    return rates
+
+
 def rate_table(spark: SparkSession, rates=RATES) -> DataFrame:
-    """The rate rows as literal SQL values, whose size Spark knows when it picks the join."""
+    """The rate rows as literal SQL values, whose size Spark knows when it picks the join; overlapping ones are an error."""
+    clashes = _clashes(rates)
+    if clashes:
+        raise ValueError(f"rates overlap: {clashes[0]}")
+
     def day(value: str | None) -> str:
         return f"date'{value}'" if value else "CAST(NULL AS DATE)"
 
@@ -98,7 +144,8 @@ def fee_share(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Adds ``percent_from_fee``: the rate of the agreement a paid loan falls under, else 0.
 
     The ladder of agreements is a small table joined on country with the dates and ordinal as
-    residual, so a country holding most loans is not shuffled as one key.
+    residual, so a country holding most loans is not shuffled as one key. Pass rates of ``rate_table``, or others
+    through ``checked_rates``: where two apply to a loan its row would be doubled.
     """
     kind = F.lower("financing_type")
     regular, refill = kind.contains("regular"), kind.contains("refill")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.revenue import npl_status, vat_rate
 from ledgerloom.operators.revenue import (
-    last_collection, loan_cycle, previous_day_rate, rate_table, revenue, usd_columns,
+    checked_rates, last_collection, loan_cycle, previous_day_rate, rate_table, revenue, usd_columns,
 )
 
 SNAPSHOT_COLUMNS = (
@@ -40,10 +40,10 @@ def revenue_snapshot(
     """One row per loan of ``project`` as of a day.
 
     Loans are numbered before any other table is joined. Drivers, offers and historical offers may repeat rows;
-    a key with two values is an error. The key of currency must be unique (``audit_unique``). Every row then
+    a key with two values is an error, and so are rates of which two apply to a loan. The key of currency must be unique (``audit_unique``). Every row then
     differs by user and ordinal, so a DISTINCT over the wide result could remove nothing and is not paid for.
     """
-    rates = rate_table(fin.sparkSession) if rates is None else rates
+    rates = rate_table(fin.sparkSession) if rates is None else checked_rates(rates)
     loans = loan_cycle(fin.filter(F.col("project_name") == project))
     merchant = _one(drivers, "dwh_driver_id", "driver_id", "user_id", "external_merchant_id")
     offer = _one(offers, "offer_id", "interest_amount", "offer_id", "offer_interest_amount")

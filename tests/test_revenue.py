@@ -199,3 +199,17 @@ def test_last_collection_takes_the_project_only(spark):
         "financing_id INT, repayment_created_at TIMESTAMP_NTZ, project_name STRING",
     )
     assert [str(r.last_collection_date) for r in rev.last_collection(rows, "P").collect()] == ["2025-01-02"]
+
+
+def test_rates_that_apply_twice_are_refused(spark):
+    twice = (*rev.RATES, (22, "2024-07-31", "2024-09-01", "later", True, 1.0, 1.0, 1.0))
+    with pytest.raises(ValueError, match="overlap"):
+        rev.rate_table(spark, twice)
+    apart = ((12, None, "2024-01-01", "first", True, 1.0, 1.0, 1.0), (12, None, "2024-01-01", "later", False, 1.0, 1.0, 1.0),
+             (12, "2024-01-02", None, "any", False, 1.0, 1.0, 1.0), (22, None, None, "any", True, 1.0, 1.0, 1.0))
+    good = rev.rate_table(spark, apart)
+    assert rev.checked_rates(good) is good and rev.rate_overlaps(rev.rate_table(spark)).count() == 0
+    extra = good.union(rev.rate_table(spark, ((22, "2025-01-01", None, "first", False, 2.0, 2.0, 2.0),)))
+    assert [r.rate_country for r in rev.rate_overlaps(extra).collect()] == [22]
+    with pytest.raises(ValueError, match="overlap"):
+        rev.checked_rates(extra)
