@@ -166,3 +166,67 @@ def test_billing_month(spark):
     assert [(str(r.month), str(r.total_payment_amount)) for r in got] == [
         ("2025-02-01", "630.94"), ("2025-03-01", "630.94"), ("2025-04-01", "630.94"), ("2025-05-01", "630.95"),
     ]
+
+
+def half_up(x: Decimal) -> Decimal:
+    return x.quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def test_long_terms_and_large_amounts_equal_a_loop(spark):
+    """Blocks of periods, whole-number interest and its decimal stand-in give what stepping gives."""
+    terms, amounts = (1, 2, 3, 59, 60, 61, 121, 360), ("0.05", "1234.56", "99999999.99", "500000000000.00")
+    rows = [
+        (i, Decimal(a), Decimal(r), n, day("2024-01-31"), "active")
+        for i, (n, a, r) in enumerate((n, a, r) for n in terms for a in amounts for r in ("0.00", "1.37", "12.50"))
+    ]
+    loans = seed.contracts(spark, rows)
+    level = {x.id: x.level for x in loans.select(
+        "id", annuity(F.col("amount"), (F.col("interest_rate") / 100).cast("decimal(14,8)"), F.col("term_months")).alias("level")
+    ).collect()}
+    got = {}
+    for r in schedule.forecast_schedule(loans).collect():
+        got[r.loan_id, r.payment_number] = (r.total_payment, r.principal_part, r.interest_part, r.open_principal)
+    want = {}
+    for key, amount, rate, n, _, _ in rows:
+        balance = amount
+        for i in range(1, n + 1):
+            interest = half_up(balance * rate / 100)
+            principal = balance if i == n else level[key] - interest
+            balance -= principal
+            want[key, i] = (principal + interest, principal, interest, balance)
+    assert got == want
+
+
+def test_one_recalculation_gives_schedule_and_status(spark, tmp_path):
+    loans = seed.contracts(spark)
+    path = str(tmp_path / "paid")
+    seed.contract_payments(spark, seed.EARLY + [(2, d, a) for _, d, a in seed.UNDER] + [(2, "2025-04-15", "9.00")]).write.parquet(path)
+    paid = spark.read.parquet(path)
+    done = schedule.recalculate(loans, paid, empty_schedules(spark), "2025-06-01")
+    rows = schedule.schedule_rows(done)
+    separate = schedule.recalculate_schedule(loans, paid, empty_schedules(spark))
+    assert sorted(map(str, rows.collect())) == sorted(map(str, separate.collect()))
+    want = schedule.refresh_loan_status(loans, separate, "2025-06-01")
+    got = schedule.refreshed_loans(done)
+    assert got.columns == loans.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    both = schedule.schedule_rows(done, carried=("new_status",))
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    status = {r.id: r.status for r in want.collect()}
+    assert {(r.loan_id, r.new_status) for r in both.collect()} == set(status.items()) == {(1, "closed"), (2, "overdue"), (3, "closed")}
+
+
+def test_loans_without_a_period_keep_their_status(spark):
+    loans = seed.contracts(spark, [(1, Decimal("5.00"), Decimal("1.00"), 0, day("2025-01-31"), "active")])
+    done = schedule.recalculate(loans, seed.contract_payments(spark, []), empty_schedules(spark), "2026-01-01")
+    assert schedule.schedule_rows(done).count() == 0
+    assert [r.status for r in schedule.refreshed_loans(done).collect()] == ["active"]
+
+
+def test_money_columns_are_decimals(spark):
+    plan = schedule.forecast_schedule(seed.contracts(spark))
+    kinds = {f.name: f.dataType.simpleString() for f in plan.schema}
+    for c in ("total_payment", "principal_part", "interest_part", "open_principal"):
+        assert kinds[c] == "decimal(14,2)"
+    again = schedule.recalculate_schedule(seed.contracts(spark), seed.contract_payments(spark, seed.EXACT), plan)
+    assert {f.name: f.dataType.simpleString() for f in again.schema} == kinds
+    assert tuple(plan.columns) == tuple(again.columns) == schedule.SCHEDULE_COLUMNS
