@@ -291,6 +291,27 @@ class Bindings:
             F.when(kind == "purchase", "COMPLETED").when(kind == "signup", "IN_PROGRESS").alias("status"),
         )
 
+    def typed_patches(self) -> DataFrame:
+        """Patches whose values are numbers, text, booleans, nested objects and null, by kind of event."""
+        kind, count = F.col("event_type"), F.regexp_extract("props", "([0-9]+)", 1)
+        value = (
+            F.when(kind == "view", count)
+            .when(kind == "click", F.concat(F.lit('"'), count, F.lit('"')))
+            .when(kind == "purchase", F.when(count.cast("int") % 2 == 0, "true").otherwise("false"))
+            .when(kind == "signup", F.concat(F.lit('{"at":{"n":'), count, F.lit('},"tags":["a",'), count, F.lit(",null]}")))
+            .otherwise("null")
+        )
+        newest = F.concat(F.lit(', "newest": {"kind": "'), kind, F.lit('"}}'))
+        return self.table("events").select(
+            F.col("user_id").alias("application_id"),
+            F.col("ts").alias("seq"),
+            F.concat(F.lit('{"'), kind, F.lit('": '), value, newest).alias("patch"),
+            F.when(kind == "signup", F.col("user_id") % 3 + 1).cast("int").alias("product_id"),
+            F.when(kind.isin("signup", "view"), F.concat(F.lit("client "), F.col("user_id").cast("string"))).alias("client_id"),
+            F.when(kind == "view", 1).when(kind == "click", 2).when(kind == "purchase", 3).alias("window_id"),
+            F.when(kind == "purchase", "COMPLETED").when(kind == "signup", "IN_PROGRESS").alias("status"),
+        )
+
     def incoming(self) -> DataFrame:
         kind = F.col("event_type")
         return self.table("events").select(

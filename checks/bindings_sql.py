@@ -171,6 +171,13 @@ CTES = {
     "patch_keys": """
         SELECT application_id, seq, event_type AS key, value FROM patches
         UNION ALL SELECT application_id, seq, 'newest', event_type FROM patches""",
+    "typed_keys": """
+        SELECT user_id AS application_id, ts AS seq, event_type AS key,
+               CASE event_type WHEN 'view' THEN n WHEN 'click' THEN '"' || n || '"'
+                    WHEN 'purchase' THEN CASE WHEN CAST(n AS INT) % 2 = 0 THEN 'true' ELSE 'false' END
+                    WHEN 'signup' THEN '{"at":{"n":' || n || '},"tags":["a",' || n || ',null]}' ELSE 'null' END AS value
+        FROM (SELECT *, regexp_extract(props, '([0-9]+)', 1) AS n FROM events)
+        UNION ALL SELECT user_id, ts, 'newest', '{"kind":"' || event_type || '"}' FROM events""",
     "incoming": """
         SELECT CASE event_type WHEN 'purchase' THEN 'partner_API' WHEN 'error' THEN 'unlisted' ELSE 'service_db' END
                    AS source_name,

@@ -12,17 +12,19 @@ from checks.bindings import PROJECT, Bindings
 from ledgerloom.functions import ladder
 from ledgerloom.functions.annuity import annuity
 from ledgerloom.functions.revenue import npl_status, vat_rate
-from ledgerloom.operators import accrual, attributes, audit, balances, forms, opening, payments, rewrites, schedule
+from ledgerloom.operators import accrual, attributes, audit, balances, forms, opening, payments, rewrites, schedule, spans
 from ledgerloom.operators import revenue as rev
-from ledgerloom.plans.daily_cycle import add_loans_flat, add_loans_policy, close_day
+from ledgerloom.plans.daily_cycle import add_loans_flat, add_loans_policy, catch_up_day, close_day
 from ledgerloom.plans.revenue_snapshot import revenue_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed dates of the queries; the oracle uses the same ones.
 REBUILD_FROM, REBUILD_TO = "2025-02-15", "2025-04-01"
-HISTORY_FROM, HISTORY_TO = "2025-04-01", "2025-08-15"
 REPORT_START, REPORT_END = accrual.CALENDAR_START, accrual.CALENDAR_END
+HISTORY_TO = REPORT_END
+CATCH_UP_TO = "2025-05-20"
+RANGE_FROM, RANGE_TO = "2025-06-25", "2025-07-05"
 PAYMENT_DAY = "2025-03-01"
 REPLAY_FROM, REPLAY_TO = "2025-02-01", "2025-04-15"
 CUT_FROM = "2025-03-10"
@@ -133,9 +135,38 @@ def rebuild_balances(b: Bindings) -> DataFrame:
     return balances.rebuild_balances(open_balances_policy(b), daily, REBUILD_FROM, REBUILD_TO)
 
 
-def _history(b: Bindings, opened: DataFrame) -> DataFrame:
-    daily = payments.daily_totals(b.payments(), until=HISTORY_TO)
-    return balances.rebuild_balances(opened, daily, HISTORY_FROM, HISTORY_TO)
+@query
+def catch_up_balances(b: Bindings) -> DataFrame:
+    """Loans that stand at mixed days, most at their opening and some a day on, brought to one day."""
+    opened = open_balances_policy(b)
+    some = balances.roll_one_day(opened.filter(F.col("loan_id") % 3 == 0), payments.daily_totals(b.payments()))
+    standing = opened.unionByName(some)
+    return standing.unionByName(catch_up_day(standing, b.payments(), CATCH_UP_TO))
+
+
+def _corrected_payments(b: Bindings) -> DataFrame:
+    """Payments after a correction: a day's returned items come again with another amount, one loan's last ones go."""
+    return cut_payments_of(rewrites.upsert_payments(b.payments(), b.staged_payments(), PAYMENT_DAY))
+
+
+def cut_payments_of(rows: DataFrame) -> DataFrame:
+    return rewrites.cut_from(rows, CUT_FROM, "payment_dttm", loan_id=ONE_LOAN)
+
+
+@query
+def changed_loans(b: Bindings) -> DataFrame:
+    return balances.changed_loans(b.payments(), _corrected_payments(b))
+
+
+@query
+def rebuild_changed(b: Bindings) -> DataFrame:
+    """The history after a correction, only the loans it concerns rolled again."""
+    opened, after = open_balances_policy(b), _corrected_payments(b)
+    history = opened.unionByName(balances.catch_up(opened, payments.daily_totals(b.payments()), CATCH_UP_TO))
+    changed = balances.changed_loans(b.payments(), after)
+    return balances.merge_rebuilt(
+        history, *balances.rebuild_changed(history, payments.daily_totals(after), changed, CATCH_UP_TO)
+    )
 
 
 def _four_day_products(b: Bindings) -> DataFrame:
@@ -143,23 +174,56 @@ def _four_day_products(b: Bindings) -> DataFrame:
     return rewrites.set_where(b.products_policy(), F.col("product_name") == "general_loan", "policy_id", 6003)
 
 
+def _fixed_spans(b: Bindings) -> DataFrame:
+    daily = payments.daily_totals(b.payments(), until="2026-01-02")
+    held = balances.balance_spans(open_balances_flat(b), daily, HISTORY_TO)
+    return spans.report_spans_fixed(b.loans(), b.products_flat(), b.offers(), b.terms(), daily, held)
+
+
 @query
 def loan_day_report_fixed(b: Bindings) -> DataFrame:
-    return accrual.loan_day_report_fixed(
-        b.loans(), b.products_flat(), b.offers(), b.terms(), payments.daily_totals(b.payments()),
-        _history(b, open_balances_flat(b)),
-    )
+    return spans.report_between(_fixed_spans(b))
+
+
+@query
+def report_spans(b: Bindings) -> DataFrame:
+    """Opening, whole history to the calendar's end and the report over it, as spans of days."""
+    products = _four_day_products(b)
+    daily = payments.daily_totals(b.payments(), until="2026-01-02")
+    opened = opening.open_balances_policy(b.loans(), products, b.offers(), b.terms())
+    held = balances.balance_spans(opened, daily, HISTORY_TO)
+    return spans.report_spans(b.loans(), products, b.offers(), b.terms(), daily, held)
 
 
 @query
 def loan_day_report(b: Bindings) -> DataFrame:
-    """Flagship: opening, whole daily history and the report over it."""
+    """Flagship: the whole calendar, every loan on every day of its history."""
+    return spans.report_between(report_spans(b))
+
+
+@query
+def loan_day_report_stored(b: Bindings) -> DataFrame:
+    """The same report from a history of daily balance rows."""
     products = _four_day_products(b)
     opened = opening.open_balances_policy(b.loans(), products, b.offers(), b.terms())
-    return accrual.loan_day_report(
-        b.loans(), products, b.offers(), b.terms(), payments.daily_totals(b.payments()),
-        _history(b, opened),
-    )
+    daily = payments.daily_totals(b.payments())
+    history = opened.unionByName(balances.catch_up(opened, daily, HISTORY_TO))
+    return accrual.loan_day_report(b.loans(), products, b.offers(), b.terms(), daily, history)
+
+
+@query
+def report_on_day(b: Bindings) -> DataFrame:
+    return spans.report_on(report_spans(b), LADDER_DAY)
+
+
+@query
+def report_of_range(b: Bindings) -> DataFrame:
+    return spans.report_between(report_spans(b), RANGE_FROM, RANGE_TO)
+
+
+@query
+def report_of_loan(b: Bindings) -> DataFrame:
+    return spans.report_between(report_spans(b), loan_id=ONE_LOAN)
 
 
 @query
@@ -206,7 +270,7 @@ def cut_payments(b: Bindings) -> DataFrame:
 
 @query
 def report_slice(b: Bindings) -> DataFrame:
-    return accrual.report_slice(loan_day_report(b), LADDER_DAY)
+    return spans.report_slice(report_spans(b), LADDER_DAY)
 
 
 @query
@@ -257,6 +321,21 @@ def recalculate_schedule(b: Bindings) -> DataFrame:
     return schedule.recalculate_schedule(b.contract_loans(), b.contract_payments(), _first_versions(b))
 
 
+def _recalculated(b: Bindings) -> DataFrame:
+    return schedule.recalculate(b.contract_loans(), b.contract_payments(), _first_versions(b), REFRESH_DAY)
+
+
+@query
+def recalculate_and_refresh(b: Bindings) -> DataFrame:
+    """Schedule rows and the loan's new status, both of one recalculation."""
+    return schedule.schedule_rows(_recalculated(b), carried=("new_status",))
+
+
+@query
+def refreshed_loans(b: Bindings) -> DataFrame:
+    return schedule.refreshed_loans(_recalculated(b))
+
+
 def _all_versions(b: Bindings) -> DataFrame:
     return _first_versions(b).unionByName(recalculate_schedule(b))
 
@@ -386,6 +465,27 @@ def application_state(b: Bindings) -> DataFrame:
     return state.select("application_id", "current_window_id", "status", F.array_join(pairs, ",").alias("data"))
 
 
+@query
+def application_documents(b: Bindings) -> DataFrame:
+    """Typed documents, handed over as JSON text."""
+    state = forms.application_documents(b.typed_patches())
+    return state.withColumn("application_data", F.to_json("application_data"))
+
+
+@query
+def application_typed_values(b: Bindings) -> DataFrame:
+    """Values read out of the documents by their type."""
+    state, data = forms.application_documents(b.typed_patches()), F.col("application_data")
+    return state.select(
+        "application_id",
+        F.try_variant_get(data, "$.view", "int").alias("views"),
+        F.try_variant_get(data, "$.purchase", "boolean").alias("even"),
+        F.try_variant_get(data, "$.signup.at.n", "bigint").alias("signup_n"),
+        F.schema_of_variant(F.variant_get(data, "$.click", "variant")).alias("click_type"),
+        F.is_variant_null(F.variant_get(data, "$.error", "variant")).alias("error_is_null"),
+    )
+
+
 @query
 def ingest_attributes(b: Bindings) -> DataFrame:
     rows = attributes.ingest_attributes(b.incoming(), b.sources(), b.attribute_meta())
@@ -424,3 +524,33 @@ def audit_sources(b: Bindings) -> DataFrame:
 @query
 def audit_length(b: Bindings) -> DataFrame:
     return audit.audit_length(b.table("part").select("p_partkey", "p_name"), "p_name", 9)
+
+
+@query
+def audit_overlaps(b: Bindings) -> DataFrame:
+    """Loans of one user that begin before an earlier one is due."""
+    loans = b.fin().select("financing_id", "user_id", "start_date", "due_date")
+    return audit.audit_overlaps(loans, ["user_id"], "start_date", "due_date", "financing_id")
+
+
+def _audited_loans(b: Bindings) -> DataFrame:
+    """A batch written beside the table instead of into it, so that ids repeat."""
+    return b.loans().unionByName(b.loan_batch()).withColumn(
+        "close_dttm", F.when(F.col("id") % 5 != 0, F.col("due_dttm"))
+    )
+
+
+def loan_rules(b: Bindings) -> list[audit.Rule]:
+    return [
+        audit.not_null("close_dttm"),
+        audit.at_most("status", 6),
+        audit.holds("due after opening", F.col("due_dttm") > F.col("open_dttm")),
+        audit.references("id", b.low_priority_offers(), "id"),
+        audit.unique("id"),
+    ]
+
+
+@query
+def audit_rules(b: Bindings) -> DataFrame:
+    """Five rules of the loans at once."""
+    return audit.audit_rules(_audited_loans(b), loan_rules(b)).select("id", "status", "violations")

@@ -41,6 +41,20 @@ def _rolled(opened: str, start: str, end: str) -> dict[str, str]:
     }
 
 
+def _caught_up(opened: str, end: str) -> dict[str, str]:
+    """CTE ``walk``: the rows of ``opened`` and the days rolled from each loan's newest one up to ``end``."""
+    return {
+        "newest": f"SELECT * FROM {opened} QUALIFY balance_date = max(balance_date) OVER (PARTITION BY loan_id)",
+        "rolled": f"""
+            SELECT {BALANCE} FROM newest
+            UNION ALL
+            {_step('rolled', f"balance_date < {_date(end)}")}""",
+        "walk": f"""
+            SELECT {BALANCE} FROM {opened} ANTI JOIN newest USING (loan_id, balance_date)
+            UNION ALL SELECT {BALANCE} FROM rolled""",
+    }
+
+
 def _ladder(step: str, day: str = "day", balance: str = "balance") -> tuple[str, str]:
     """Collection status and label from the columns opened, length, periods and approved."""
     late = f"date_diff('day', opened, {day})"
@@ -60,7 +74,7 @@ def _loan_status(balance: str) -> str:
 def _report(opened: str, products: str, policy: str, step: str) -> str:
     status, label = _ladder(step, "report_dt", "loan_balance")
     extra = {
-        **_rolled(opened, c.HISTORY_FROM, c.HISTORY_TO),
+        **_caught_up(opened, c.HISTORY_TO),
         "facts": f"""
             SELECT CAST(g AS DATE) AS report_dt, l.id AS loan_id, p.product_name, l.status,
                    CAST(l.open_dttm AS DATE) AS opened, t.periods, t.period_length AS length,
@@ -87,6 +101,22 @@ def _report(opened: str, products: str, policy: str, step: str) -> str:
 _MOVED = "CASE WHEN p.product_name = 'general_loan' THEN 6003 ELSE p.policy_id END"
 
 
+_REPORT = """report_dt, loan_id, product_name, loan_status, collection_status, dpd_status, loan_balance, open_principal,
+    open_interest, open_vat, daily_total_amount, payments_count"""
+
+
+def _as_spans() -> str:
+    """Runs of days of the daily report on which nothing changes but the number of days past due."""
+    values = _REPORT.replace("report_dt, loan_id, ", "").replace("dpd_status", "dpd_rung, dpd_since").replace("\n", "")
+    return f"""
+        SELECT loan_id, min(report_dt) AS valid_from, max(report_dt) AS valid_to, {values}
+        FROM (SELECT *, report_dt - CAST(row_number() OVER (PARTITION BY loan_id, {values} ORDER BY report_dt) AS INT) AS run
+              FROM (SELECT *, split_part(dpd_status, ': ', 1) AS dpd_rung,
+                           report_dt - try_cast(split_part(dpd_status, ': ', 2) AS INT) AS dpd_since
+                    FROM ({_flagship()})))
+        GROUP BY loan_id, run, {values}"""
+
+
 def _flagship() -> str:
     # 40 % over 124 days in each policy, so the opening amounts are those of policy_balances
     return _report("policy_balances", "products_policy", _MOVED, "(100 // periods)")
@@ -203,6 +233,14 @@ def _recalculated() -> dict[str, str]:
     }
 
 
+_REFRESHED = f"""
+    SELECT l.id, l.amount, l.interest_rate, l.term_months, l.start_date,
+           CASE WHEN r.open_principal <= 0 THEN 'closed'
+                WHEN r.payment_date < {_date(c.REFRESH_DAY)} THEN 'overdue' ELSE l.status END AS status
+    FROM contract_loans l
+    JOIN recalc_rows r ON r.loan_id = l.id AND r.payment_number = l.term_months"""
+
+
 def _versions(query: str) -> str:
     extra = {
         **_forecast("status = 'active'"),
@@ -254,6 +292,19 @@ _FORM = """
     WHERE {where}"""
 
 
+_NEWEST_VALUES = "SELECT application_id, key, arg_max(value, seq) AS value FROM typed_keys GROUP BY 1, 2"
+
+_NEWEST_COLUMNS = """
+    SELECT user_id AS application_id,
+           max(CASE WHEN event_type = 'signup' THEN CAST(user_id % 3 + 1 AS INT) END) AS product_id,
+           max(CASE WHEN event_type IN ('signup', 'view') THEN 'client ' || user_id END) AS client_id,
+           arg_max(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 END, ts)
+               FILTER (WHERE event_type IN ('view', 'click', 'purchase')) AS current_window_id,
+           arg_max(CASE event_type WHEN 'purchase' THEN 'COMPLETED' ELSE 'IN_PROGRESS' END, ts)
+               FILTER (WHERE event_type IN ('purchase', 'signup')) AS status
+    FROM events GROUP BY 1"""
+
+
 _SCHEDULE_AMOUNTS = ["total_payment", "principal_part", "interest_part", "open_principal"]
 _DECIMALS = {
     "annuity_payment": ["payment", "payment_no_rate", "payment_no_term", "payment_long"],
@@ -261,6 +312,8 @@ _DECIMALS = {
     "recalculate_schedule": _SCHEDULE_AMOUNTS,
     "latest_version": _SCHEDULE_AMOUNTS,
     "refresh_loan_status": ["amount", "interest_rate"],
+    "refreshed_loans": ["amount", "interest_rate"],
+    "recalculate_and_refresh": _SCHEDULE_AMOUNTS,
     "payments_by_billing_month": ["total_payment_amount"],
     "vat_by_country": ["vat"],
     "revenue_snapshot_day": [
@@ -323,6 +376,32 @@ def _oracles() -> dict[str, str]:
         ),
         "loan_day_report_fixed": _report("flat_balances", "products_flat", "p.policy_id", "25"),
         "loan_day_report": _flagship(),
+        "loan_day_report_stored": _flagship(),
+        "report_spans": _as_spans(),
+        "report_on_day": f"SELECT * FROM ({_flagship()}) WHERE report_dt = {_date(c.LADDER_DAY)}",
+        "report_of_range": f"""
+            SELECT * FROM ({_flagship()}) WHERE report_dt BETWEEN {_date(c.RANGE_FROM)} AND {_date(c.RANGE_TO)}""",
+        "report_of_loan": f"SELECT * FROM ({_flagship()}) WHERE loan_id = {c.ONE_LOAN}",
+        "catch_up_balances": with_ctes(
+            f"SELECT {BALANCE} FROM walk",
+            {
+                "standing": f"""
+                    SELECT {BALANCE} FROM policy_balances UNION ALL {_step('policy_balances', 'loan_id % 3 = 0')}""",
+                **_caught_up("standing", c.CATCH_UP_TO),
+            },
+            recursive=True,
+        ),
+        "changed_loans": with_ctes(
+            """SELECT loan_id, min(payment_dttm) AS changed_from
+               FROM daily b FULL JOIN daily_after a USING (loan_id, payment_dttm)
+               WHERE coalesce(b.daily_total_amount, 0) <> coalesce(a.daily_total_amount, 0) GROUP BY loan_id""",
+            _corrected("daily_after"),
+        ),
+        "rebuild_changed": with_ctes(
+            f"SELECT {BALANCE} FROM walk",
+            _corrected("daily") | _caught_up("policy_balances", c.CATCH_UP_TO),
+            recursive=True,
+        ),
         "delinquency_labels": with_ctes(
             f"""
             SELECT id, {_loan_status('balance')} AS loan_status, {fixed_status} AS collection_fixed,
@@ -366,13 +445,10 @@ def _oracles() -> dict[str, str]:
         ),
         "forecast_schedule": with_ctes("SELECT * FROM forecast_rows", _forecast("TRUE"), recursive=True),
         "recalculate_schedule": with_ctes("SELECT * FROM recalc_rows", _recalculated(), recursive=True),
-        "refresh_loan_status": with_ctes(
-            f"""
-            SELECT l.id, l.amount, l.interest_rate, l.term_months, l.start_date,
-                   CASE WHEN r.open_principal <= 0 THEN 'closed'
-                        WHEN r.payment_date < {_date(c.REFRESH_DAY)} THEN 'overdue' ELSE l.status END AS status
-            FROM contract_loans l
-            JOIN recalc_rows r ON r.loan_id = l.id AND r.payment_number = l.term_months""",
+        "refresh_loan_status": with_ctes(_REFRESHED, _recalculated(), recursive=True),
+        "refreshed_loans": with_ctes(_REFRESHED, _recalculated(), recursive=True),
+        "recalculate_and_refresh": with_ctes(
+            f"SELECT r.*, s.status AS new_status FROM recalc_rows r JOIN ({_REFRESHED}) s ON s.id = r.loan_id",
             _recalculated(),
             recursive=True,
         ),
@@ -448,6 +524,23 @@ def _oracles() -> dict[str, str]:
                   FROM (SELECT application_id, key, arg_max(value, seq) AS value FROM patch_keys GROUP BY 1, 2)
                   GROUP BY 1) USING (application_id)"""
         ),
+        "application_documents": with_ctes(
+            f"""
+            SELECT application_id, product_id, client_id, current_window_id, status, application_data
+            FROM ({_NEWEST_COLUMNS})
+            JOIN (SELECT application_id, '{{' || string_agg('"' || key || '":' || value, ',' ORDER BY key) || '}}'
+                         AS application_data
+                  FROM ({_NEWEST_VALUES}) GROUP BY 1) USING (application_id)"""
+        ),
+        "application_typed_values": with_ctes(
+            f"""
+            SELECT application_id, CAST(max(value) FILTER (WHERE key = 'view') AS INT) AS views,
+                   max(value) FILTER (WHERE key = 'purchase') = 'true' AS even,
+                   CAST(json_extract(CAST(max(value) FILTER (WHERE key = 'signup') AS JSON), '$.at.n') AS BIGINT) AS signup_n,
+                   CASE WHEN max(value) FILTER (WHERE key = 'click') IS NOT NULL THEN 'STRING' END AS click_type,
+                   coalesce(max(value) FILTER (WHERE key = 'error') = 'null', FALSE) AS error_is_null
+            FROM ({_NEWEST_VALUES}) GROUP BY 1"""
+        ),
         "ingest_attributes": with_ctes("SELECT * FROM attributes"),
         "attributes_with_expiry": with_ctes(
             """SELECT a.*, m.expiration_policy FROM attributes a JOIN attribute_meta m ON m.id = a.attr_meta_id"""
@@ -463,10 +556,41 @@ def _oracles() -> dict[str, str]:
             SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
         "audit_fk": with_ctes("SELECT * FROM loans WHERE offer_id NOT IN (SELECT id FROM low_offers)"),
         "audit_sources": with_ctes("SELECT * FROM incoming WHERE source_name = 'unlisted'"),
+        "audit_overlaps": with_ctes(
+            """
+            SELECT financing_id, user_id, start_date, due_date, reaches
+            FROM (SELECT *, max(due_date) OVER (PARTITION BY user_id ORDER BY start_date, financing_id
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reaches FROM fin)
+            WHERE reaches >= start_date"""
+        ),
+        "audit_rules": with_ctes(
+            """
+            SELECT id, status, array_to_string([x FOR x IN [
+                       CASE WHEN id % 5 = 0 THEN 'close_dttm is null' END,
+                       CASE WHEN length(status) > 6 THEN 'status is longer than 6' END,
+                       CASE WHEN id NOT IN (SELECT id FROM low_offers) THEN 'id has no parent' END,
+                       CASE WHEN id IN (SELECT id FROM loan_batch) THEN 'id is not unique' END] IF x IS NOT NULL], ',')
+                   AS violations
+            FROM (SELECT id, status FROM loans UNION ALL SELECT id, status FROM loan_batch)
+            WHERE violations <> ''"""
+        ),
         "audit_length": "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 9",
     }
 
 
+def _corrected(name: str) -> dict[str, str]:
+    """Daily totals after the correction of the payments."""
+    return {
+        "returned": f"SELECT * FROM staged WHERE CAST(payment_dttm AS DATE) = {_date(c.PAYMENT_DAY)}",
+        name: f"""
+            SELECT loan_id, CAST(payment_dttm AS DATE) AS payment_dttm,
+                   CAST(sum(payment_amount) AS BIGINT) AS daily_total_amount, count(*) AS payments_count
+            FROM (SELECT * FROM payments WHERE id NOT IN (SELECT id FROM returned) UNION ALL SELECT * FROM returned)
+            WHERE loan_id <> {c.ONE_LOAN} OR payment_dttm < {_date(c.CUT_FROM)}
+            GROUP BY ALL""",
+    }
+
+
 def _opening_rows(loans: str, terms: str) -> str:
     """Opening rows of the ACTIVE loans of ``loans``; ``terms`` gives rate and days per product."""
     vat = "((32 * x + 365) // 730 + 50) // 100"

@@ -55,15 +55,15 @@ def roll_one_day(balances: DataFrame, daily: DataFrame) -> DataFrame:
     return due.join(paid, ["loan_id", "balance_date"], "left").withColumns(rolled).select(*BALANCE_COLUMNS)
 
 
-def _running_balances(base: DataFrame, daily: DataFrame, rolls: int) -> DataFrame:
-    """Spans of days over which a loan's balances stand still, from base date + 1.
+def _running_balances(base: DataFrame, daily: DataFrame, last: Column) -> DataFrame:
+    """Spans of days over which a loan's balances stand still, from its base date + 1 to its ``last`` day.
 
     With C the payments so far, the part that ran past the VAT is L = max(0, max over days of C) - vat,
     floored at zero: a refund refills VAT but returns nothing from interest or principal. Interest and
     principal then depend on L alone. So the whole history is one running sum and one running maximum
     per loan, over its payment days only; days without payment are filled in afterwards, unshuffled.
     """
-    base = base.withColumnRenamed("balance_date", "_base").withColumn("_last", F.date_add("_base", rolls))
+    base = base.withColumn("_last", last).withColumnRenamed("balance_date", "_base")
     paid = _amount_by_day(daily, "_day", "_amount")
     in_reach = (F.col("_day") > F.col("_base")) & (F.col("_day") <= F.col("_last"))
     by_day = Window.partitionBy("loan_id").orderBy("_day")
@@ -103,6 +103,11 @@ def _running_balances(base: DataFrame, daily: DataFrame, rolls: int) -> DataFram
     )
 
 
+def _days(spans: DataFrame) -> DataFrame:
+    # spans are never empty; the outer form spares a filter that would build each sequence twice
+    return spans.select("loan_id", F.explode_outer(F.sequence("_from", "_to")).alias("balance_date"), *AMOUNTS)
+
+
 def roll_forward(
     balances: DataFrame, daily: DataFrame, dt: str | dt_.date, as_of: str | dt_.date
 ) -> DataFrame:
@@ -112,10 +117,40 @@ def roll_forward(
     """
     rolls = (dt_.date.fromisoformat(str(as_of)) - dt_.date.fromisoformat(str(dt))).days
     base = latest_open(_before(balances, dt))
-    spans = _running_balances(base if rolls > 0 else base.limit(0), daily, rolls)
-    # spans are never empty; the outer form spares a filter that would build each sequence twice
-    days = F.explode_outer(F.sequence("_from", "_to")).alias("balance_date")
-    return spans.select("loan_id", days, *AMOUNTS)
+    return _days(_running_balances(base if rolls > 0 else base.limit(0), daily, F.date_add("balance_date", rolls)))
+
+
+def _until(day: str | dt_.date) -> Column:
+    return F.lit(str(day)).cast("date")
+
+
+def catch_up(balances: DataFrame, daily: DataFrame, day: str | dt_.date) -> DataFrame:
+    """The missing rows of every loan through ``day``, each from its own newest row on: the new rows only.
+
+    Equal to calling ``roll_one_day`` again and again for the loans that have not reached ``day``. Loans that stand
+    at zero, or at ``day`` or later, get no rows. ``daily`` need not reach back before the oldest newest row;
+    ``plans.daily_cycle.catch_up_day`` prunes payments to it.
+    """
+    return _days(_running_balances(latest_open(balances), daily, _until(day)))
+
+
+def balance_spans(balances: DataFrame, daily: DataFrame, day: str | dt_.date) -> DataFrame:
+    """(loan_id, valid_from, valid_to, amounts): the stored rows, caught up through ``day``, as spans of days.
+
+    A loan has a span for each payment day and one between two, so this stays as small as the payments however long
+    the history gets. Stored rows are spans of one day.
+    """
+    rolled = _running_balances(latest_open(balances), daily, _until(day)).select(
+        "loan_id", F.col("_from").alias("valid_from"), F.col("_to").alias("valid_to"), *AMOUNTS
+    )
+    return one_day_spans(balances).unionByName(rolled)
+
+
+def one_day_spans(balances: DataFrame) -> DataFrame:
+    """Stored daily rows in the form of ``balance_spans``."""
+    return balances.select(
+        "loan_id", F.col("balance_date").alias("valid_from"), F.col("balance_date").alias("valid_to"), *AMOUNTS
+    )
 
 
 def _before(balances: DataFrame, dt: str | dt_.date) -> DataFrame:
@@ -132,3 +167,47 @@ def rebuild_balances(
     non-negative, as the opening operators make them.
     """
     return _before(balances, dt).unionByName(roll_forward(balances, daily, dt, as_of))
+
+
+def changed_loans(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(loan_id, changed_from): the loans whose total of some day differs between two states of the payments.
+
+    Amounts before count negative and amounts after positive, so one sum per loan and day, combined map-side, finds
+    what is missing on either side; rows that did not change cancel out. Where only some payments can have changed,
+    pass those alone: their rows before and their rows after.
+    """
+    signed = [
+        rows.select("loan_id", F.to_date("payment_dttm").alias("_day"), (F.col("payment_amount") * sign).alias("_amount"))
+        for rows, sign in ((after, 1), (before, -1))
+    ]
+    differing = (
+        signed[0].unionByName(signed[1]).filter(F.col("loan_id").isNotNull())
+        .groupBy("loan_id", "_day").agg(F.sum("_amount").alias("_amount")).filter(F.col("_amount") != 0)
+    )
+    return differing.groupBy("loan_id").agg(F.min("_day").alias("changed_from"))
+
+
+def rebuild_changed(
+    balances: DataFrame, daily: DataFrame, changed: DataFrame, day: str | dt_.date
+) -> tuple[DataFrame, DataFrame]:
+    """New rows of the changed loans through ``day``, and what they replace as (loan_id, changed_from).
+
+    ``changed`` comes from ``changed_loans``, ``daily`` is of the payments after the change. Each loan is rolled again
+    from its newest row before its own first changed day; rows and payments of other loans are dropped before any
+    window or sort. A payment on or before the opening day never counts, so a loan always keeps its first row.
+    """
+    own = balances.select(*BALANCE_COLUMNS).join(changed, "loan_id")
+    first = own.groupBy("loan_id").agg(
+        F.greatest(F.first("changed_from"), F.date_add(F.min("balance_date"), 1)).alias("changed_from")
+    )
+    kept = own.drop("changed_from").join(first, "loan_id").filter(F.col("balance_date") < F.col("changed_from"))
+    paid = daily.join(changed.select("loan_id"), "loan_id", "left_semi")
+    return _days(_running_balances(latest_open(kept), paid, _until(day))), first
+
+
+def merge_rebuilt(balances: DataFrame, rows: DataFrame, replaced: DataFrame) -> DataFrame:
+    """``balances`` with the rows that ``rebuild_changed`` gave in place of the changed loans' rows."""
+    kept = balances.select(*BALANCE_COLUMNS).join(replaced, "loan_id", "left").filter(
+        F.col("changed_from").isNull() | (F.col("balance_date") < F.col("changed_from"))
+    )
+    return kept.drop("changed_from").unionByName(rows)

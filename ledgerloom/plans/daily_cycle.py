@@ -7,7 +7,7 @@ import datetime as dt_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.balances import BALANCE_COLUMNS, roll_one_day
+from ledgerloom.operators.balances import BALANCE_COLUMNS, catch_up, latest_open, roll_one_day
 from ledgerloom.operators.opening import open_balances_flat, open_balances_policy
 from ledgerloom.operators.payments import daily_totals
 from ledgerloom.operators.rewrites import upsert_loans
@@ -44,7 +44,7 @@ def close_one_day(balances: DataFrame, payments: DataFrame, day: str | dt_.date)
     """The rows of ``day`` alone: balances of the day before, rolled by the payments of ``day``.
 
     Both scans are pruned, to one partition and one day. Loans whose newest row is older are not caught up;
-    ``rebuild_balances`` does that.
+    ``catch_up_day`` does that.
     """
     closing = dt_.date.fromisoformat(str(day))
     before = balances.filter(F.col("balance_date") == F.lit(str(closing - dt_.timedelta(days=1))).cast("date"))
@@ -59,3 +59,18 @@ def close_day(balances: DataFrame, payments: DataFrame) -> DataFrame:
     """
     rolled = roll_one_day(balances, daily_totals(payments))
     return balances.select(*BALANCE_COLUMNS).unionByName(rolled)
+
+
+def catch_up_day(balances: DataFrame, payments: DataFrame, day: str | dt_.date) -> DataFrame:
+    """The missing rows of all open loans through ``day``, each from its own newest row on.
+
+    One small job finds the oldest of the newest rows; payments before it are not read. Loans that are up to date cost
+    nothing beyond reading their newest row.
+    """
+    closing = dt_.date.fromisoformat(str(day))
+    behind = latest_open(balances).filter(F.col("balance_date") < F.lit(str(closing)).cast("date"))
+    oldest = behind.agg(F.min("balance_date")).first()[0]
+    if oldest is None:
+        return balances.select(*BALANCE_COLUMNS).limit(0)
+    daily = daily_totals(payments, oldest + dt_.timedelta(days=1), closing + dt_.timedelta(days=1))
+    return catch_up(balances, daily, closing)
