@@ -451,6 +451,8 @@ def _settle(model: Model):
     'words' by part: keys, pairs seen first here that end with the word, that begin with it, counts.
     'asks' by part: keys of the words of 'cells', the pairs seen first here with two customers or more.
     'pairs': counts of all pairs. Statistics of words and pairs are passed on in 'ws' and 'ps'.
+    'places': each token's word, as its rank by frequency here, which compresses to about a byte, so that scoring
+    reads no text again; the words by rank, and the documents.
     """
 
     def run(bundles: pa.Table, answers: pa.Table) -> pa.Table:
@@ -475,7 +477,14 @@ def _settle(model: Model):
         for part, a, b in _cuts(chunk.words[named], model.bits):
             rows.append(_row(number, part, "asks", packed(chunk.words[named][a:b])))
         rows.append(_row(number, -1, "pairs", *_counted(pair_count)))
-        return _messages(rows)
+        learn = np.packbits(chunk.doc_learn).tobytes()
+        frequent = np.argsort(-np.bincount(chunk.word, minlength=len(chunk.words)), kind="stable").astype(np.int32)
+        rank = np.empty_like(frequent)
+        rank[frequent] = np.arange(len(frequent), dtype=np.int32)
+        rows.append(_row(number, -1, "places", packed(rank[chunk.word]), packed(frequent), packed(chunk.sizes), learn))
+        names = [x for some in bundles["names"].to_pylist() for x in some]
+        named = pa.array([None] * (len(rows) - 1) + [names], bundles["names"].type)
+        return _messages(rows).append_column("names", named)
 
     return run
 
@@ -572,13 +581,25 @@ def _score(model: Model, key: str, burn: int):
     """Scores of a chunk's documents: log10 of the predictive probabilities averaged over the kept rounds."""
     rounds = len(model.tables) - 1
 
-    def run(bundles: pa.Table, kept: pa.Table) -> pa.Table:
-        chunk = Chunk(bundles, model).with_pairs()
-        count = _joined(_of(kept, "words"), "x3", np.int64)
-        (some,) = _of(kept, "pairs")
-        c = _uncounted(some["x0"], some["x1"], len(chunk.pairs))
-        u, w = np.zeros(len(c), dtype=np.int32), np.zeros(len(c), dtype=np.int32)
-        u[chunk.pair], w[chunk.pair] = chunk.before, chunk.word
+    def run(kept: pa.Table) -> pa.Table:
+        of_words, (some,) = _of(kept, "words"), _of(kept, "pairs")
+        words, count = _joined(of_words, "x0", np.uint64), _joined(of_words, "x3", np.int64)
+        places = kept.filter(pc.equal(kept["kind"], "places"))
+        rank, frequent = (unpacked(places[x][0].as_py(), np.int32) for x in ("x0", "x1"))
+        word = frequent[rank]
+        sizes = unpacked(places["x2"][0].as_py(), np.int64)
+        names = places["names"].combine_chunks().flatten()
+        learn = np.unpackbits(np.frombuffer(places["x3"][0].as_py(), np.uint8), count=len(names)).astype(bool)
+        ends = np.cumsum(sizes)
+        start = np.searchsorted(words, START_KEY)
+        before = np.concatenate((np.array([start], dtype=np.int32), word[:-1]))
+        before[ends[:-1]] = start
+        keys, pair = np.unique(_paired(_mixed(words)[before], words[word], model.key_bits), return_inverse=True)
+        pair = pair.astype(np.int32)
+        c = _uncounted(some["x0"], some["x1"], len(keys))
+        u, w = np.zeros(len(keys), dtype=np.int32), np.zeros(len(keys), dtype=np.int32)
+        u[pair], w[pair] = before, word
+        del before, rank
 
         def state(r: int) -> list[np.ndarray]:
             rows = _of(kept, f"answer{r}")
@@ -590,23 +611,21 @@ def _score(model: Model, key: str, burn: int):
             m, t, tables_of = state(r)
             drawn = np.minimum(c, 1)
             many = c > 1
-            drawn[many] = model.draw(chunk.pairs[many], c[many], model.root(m0, t0, r - 1)[w[many]], u0[u[many]], r)
+            drawn[many] = model.draw(keys[many], c[many], model.root(m0, t0, r - 1)[w[many]], u0[u[many]], r)
             customers = model.strength + count[u]
             spare = (model.strength + model.discount * tables_of[u]) / customers
             spare = np.where(count[u] > 0, spare, 1.0)
             total += np.maximum(c - model.discount * drawn, 0) / customers + spare * model.root(m, t, r)[w]
             m0, t0, u0 = m, t, tables_of
         by_pair = np.log10(total / max(1, rounds - burn))
-        count[np.searchsorted(chunk.words, START_KEY)] = 0
+        count[start] = 0
         by_word = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
-        starts = chunk.ends - chunk.sizes
+        starts = ends - sizes
         add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every document has a token
         return pa.table(
-            [pa.array([x for some in bundles["names"].to_pylist() for x in some], bundles["names"].type.value_type),
-             pa.array(~chunk.doc_learn), pa.array(chunk.sizes),
-             pa.array(add((count > 0).astype(np.int64)[chunk.word])),
+            [names, pa.array(~learn), pa.array(sizes), pa.array(add((count > 0).astype(np.int64)[word])),
              pa.array(np.full(len(starts), model.tokens, dtype=np.int64)),
-             pa.array(np.round(add(by_word[chunk.word]), 6)), pa.array(np.round(add(by_pair[chunk.pair]), 6))],
+             pa.array(np.round(add(by_word[word]), 6)), pa.array(np.round(add(by_pair[pair]), 6))],
             names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
@@ -654,20 +673,17 @@ def log_likelihood(
     )
     kind = key_type(docs, key)
 
-    def rows() -> DataFrame:
-        dealt = docs.select(
-            key, "text", (remainder(key) != held_out).alias("learn"),
-            (spread(key, "text") % chunks).cast("int").alias("chunk"),
-        )
-        return dealt.mapInArrow(
-            _bundle, f"chunk int, names array<{kind}>, learn array<boolean>, sizes array<int>, blob binary"
-        ).groupBy("chunk")
-
-    bundles = rows()
+    dealt = docs.select(
+        key, "text", (remainder(key) != held_out).alias("learn"), (spread(key, "text") % chunks).cast("int").alias("chunk")
+    )
+    bundles = dealt.mapInArrow(
+        _bundle, f"chunk int, names array<{kind}>, learn array<boolean>, sizes array<int>, blob binary"
+    ).groupBy("chunk")
     answers = (
         bundles.applyInArrow(_ask(model), MESSAGE).groupBy("part", "kind").applyInArrow(_total, MESSAGE)
     )
-    kept = saved(bundles.cogroup(answers.groupBy("chunk")).applyInArrow(_settle(model), MESSAGE))
+    settled = bundles.cogroup(answers.groupBy("chunk")).applyInArrow(_settle(model), f"{MESSAGE}, names array<{kind}>")
+    kept = saved(settled)
     del bundles, answers
     _release(docs.sparkSession)
     distinct, _, _, tokens = _stats(kept, "ws")
@@ -675,7 +691,7 @@ def log_likelihood(
     model = replace(model, tokens=tokens, distinct=distinct, discount=_discount(once, twice))
 
     def by(kinds: str | list[str]) -> DataFrame:
-        return kept.filter(F.col("kind").isin(kinds))
+        return kept.filter(F.col("kind").isin(kinds)).drop("names")
 
     def state(table: DataFrame) -> DataFrame:
         return table.filter("kind = 'state'")
@@ -708,10 +724,12 @@ def log_likelihood(
     found = asked.groupBy("part").cogroup(past.groupBy("part")).applyInArrow(
         _answer({f"state{nth}": f"answer{nth}" for nth in range(burn, rounds + 1)}), MESSAGE
     )
-    counts = by(["words", "pairs"]).withColumn("x0", F.when(F.col("kind") == "pairs", F.col("x0")))
+    known = kept.filter(F.col("kind").isin("words", "pairs", "places")).withColumns(
+        {x: F.when(F.col("kind") != "words", F.col(x)).alias(x) for x in ("x1", "x2")}
+    )
     schema = (
         f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double"
     )
-    scored = rows().cogroup(counts.unionByName(found).groupBy("chunk")).applyInArrow(_score(model, key, burn), schema)
+    scored = known.unionByName(found, allowMissingColumns=True).groupBy("chunk").applyInArrow(_score(model, key, burn), schema)
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
