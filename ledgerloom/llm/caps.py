@@ -1,4 +1,4 @@
-"""Embedding near-duplicates by filters: the nearest directions of structured random product codes."""
+"""Embedding near-duplicates by filters: spherical caps around the directions of structured random product codes."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from ledgerloom.llm.common import saved, spread
 from ledgerloom.llm.components import connected_components
 
 THRESHOLD = 0.9
-# Filters of a vector in each code, codes, blocks of a code, vectors to a filter, and vectors compared at once.
+# Filters of a vector in each code on average, codes, blocks of a code, vectors to a filter, and vectors compared at once.
 FILTERS_EACH = 8
 CODES = 6
 # Above so many vectors two codes are added for each tenfold, as a pair shares fewer filters of a finer code.
@@ -26,6 +26,8 @@ TO_A_FILTER = 4
 TOGETHER = 1024
 # Inner products with directions held at once.
 PRODUCTS = 1 << 22
+# Random vectors that a cap is measured with, and how many times the mean number of filters is looked at of each.
+MEASURED, REACH = 1024, 8
 # Groups up to this size are compared by shifted rows instead of one product each.
 SMALL = 24
 
@@ -42,15 +44,50 @@ def _books(words: int, dim: int, nth: int) -> tuple[np.ndarray, list[np.ndarray]
     return turn, books
 
 
+def _sums(parts: list[np.ndarray], keep: list[int], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of each row's largest products of every block, and the directions they are of."""
+    reached, code = np.zeros((len(parts[0]), 1)), np.zeros((len(parts[0]), 1), dtype=np.int64)
+    for part, n in zip(parts, keep):
+        score, word = _largest(part, n)
+        reached = (reached[:, :, None] + score[:, None, :]).reshape(len(part), -1)
+        code = (code[:, :, None] * words + word[:, None, :]).reshape(len(part), -1)
+    return reached, code
+
+
+def _products(unit: np.ndarray, words: int, nth: int) -> list[np.ndarray]:
+    turn, books = _books(words, unit.shape[1], nth)
+    return [part @ book.T for part, book in zip(np.array_split(unit @ turn, len(books), axis=1), books)]
+
+
+@functools.lru_cache(maxsize=4 * CODES)
+def _cap(words: int, dim: int, nth: int, each: int) -> float:
+    """Inner product that a unit vector has, or exceeds, with ``each`` directions of the nth code on average.
+
+    Measured on random directions of the sphere, as every vector looks to a random rotation: the products of a code
+    that is cut into blocks have a much thinner tail than normal ones.
+    """
+    x = np.random.default_rng([dim, nth, words]).standard_normal((MEASURED, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    step = max(1, PRODUCTS // words)
+    sums = []
+    for i in range(0, MEASURED, step):
+        parts = _products(x[i : i + step], words, nth)
+        found = _sums(parts, [REACH * each] * len(parts), words)[0]
+        sums.append(_largest(found, REACH * each)[0].ravel())
+    every = np.concatenate(sums)
+    rank = min(len(every), each * MEASURED)
+    return float(-np.partition(-every, rank - 1)[rank - 1])
+
+
 @dataclass(frozen=True)
 class Code:
     """Several codes, each a random rotation followed by ``words``^blocks directions: one of ``words`` random
     unit vectors in each block of coordinates.
 
-    A vector goes to the ``each`` directions of every code with which its inner product is largest, whatever
-    the distribution of the products, so it has as many filters at every size. The number of directions follows
-    the number of vectors, so that a filter holds a few of them. A single code leaves some pairs with few shared
-    filters, several even that out.
+    A vector is in the cap of, and so goes to, all directions with which its inner product exceeds a threshold: on
+    average ``each`` of every code, some more and some less. The number of directions follows the number of vectors,
+    so that a filter holds a few of them. A single code leaves some pairs with few shared filters, several even that
+    out.
     """
 
     words: int
@@ -63,29 +100,31 @@ class Code:
         return Code(max(8, math.ceil((max(n, 1) * each / TO_A_FILTER) ** (1 / BLOCKS))), each, codes + more)
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of the directions nearest to each row of ``unit``, rows in order.
+        """(row, filter) of every direction whose cap a row of ``unit`` is in, rows in order.
 
         Some rows at a time, as the directions of a block grow with the root of the number of vectors.
         """
         step = max(1, PRODUCTS // self.words)
-        found = [self._decoded(unit[i : i + step]) for i in range(0, max(1, len(unit)), step)]
-        numbers = np.concatenate(found)
-        return np.repeat(np.arange(len(unit)), numbers.shape[1]), numbers.ravel()
-
-    def _decoded(self, unit: np.ndarray) -> np.ndarray:
-        """Block by block: the largest sums are made of each block's largest products alone."""
-        numbers = []
-        for nth in range(self.codes):
-            turn, books = _books(self.words, unit.shape[1], nth)
-            reached, code = np.zeros((len(unit), 1)), np.zeros((len(unit), 1), dtype=np.int64)
-            for part, book in zip(np.array_split(unit @ turn, len(books), axis=1), books):
-                score, word = _largest(part @ book.T, self.each)
-                sums = (reached[:, :, None] + score[:, None, :]).reshape(len(unit), -1)
-                codes = (code[:, :, None] * self.words + word[:, None, :]).reshape(len(unit), -1)
-                reached, at = _largest(sums, self.each)
-                code = np.take_along_axis(codes, at, axis=1)
-            numbers.append(code + nth * self.words ** len(books))
-        return np.concatenate(numbers, axis=1)
+        found = [self._decoded(unit[i : i + step], i) for i in range(0, max(1, len(unit)), step)]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _decoded(self, unit: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """List decoding, block by block: a direction of a block can only reach the cap if it does so together with the
+        best ones of the other blocks, which leaves few to combine; all their sums are compared with the cap."""
+        rows, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for nth in range(self.codes if len(unit) else 0):
+            cap = _cap(self.words, unit.shape[1], nth, self.each)
+            parts = _products(unit, self.words, nth)
+            best = sum(part.max(axis=1) for part in parts)
+            able = [(part >= (cap - best + part.max(axis=1))[:, None]).sum(axis=1).max() for part in parts]
+            if min(able):
+                sums, code = _sums(parts, able, self.words)
+                row, at = np.nonzero(sums >= cap)
+                rows.append(row + first)
+                numbers.append(code[row, at] + nth * self.words ** len(parts))
+        row, number = np.concatenate(rows), np.concatenate(numbers)
+        order = np.argsort(row, kind="stable")
+        return row[order], number[order]
 
 
 def _largest(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +251,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(key, n_links, component_id, kept) for every row of ``vectors``; the key is an integer.
 
-    Equal vectors are one node with its number of copies. Each vector goes to its filters in every code, vectors
+    Equal vectors are one node with its number of copies. Each vector goes to all filters whose cap it is in, vectors
     that share a filter are compared in double precision, and a pair is counted in the smallest filter the two
     share, so no list of pairs is ever made. A filter of more than ``together`` vectors is cut into that many
     parts, and each pair of parts is a group of its own, so that a crowd is many tasks. Every pair that shares

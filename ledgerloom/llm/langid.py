@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import key_type, remainder, spread
@@ -23,11 +23,10 @@ NOT_LETTERS = (string.punctuation + string.digits).encode()
 
 @dataclass(frozen=True)
 class Settings:
-    """``docs_per_lang`` texts of at most ``chars_per_doc`` characters are the learning sample of a language,
-    ``dict_bytes`` its dictionary; ``max_langs`` bounds what is sent to the tasks (max_langs * dict_bytes)."""
+    """About ``docs_per_lang`` whole texts are the learning sample of a language, ``dict_bytes`` its dictionary; the
+    ``max_langs`` languages with most rows are learned, which bounds what is sent to the tasks."""
 
     docs_per_lang: int = 1500
-    chars_per_doc: int = 4096
     dict_bytes: int = 60_000
     level: int = 6
     block: int = 4096
@@ -40,39 +39,41 @@ def normal(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(None, NOT_LETTERS).split())
 
 
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of each batch."""
+    for batch in batches:
+        seen: dict[str, Counter[bytes]] = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            seen.setdefault(lang, Counter()).update(normal(text.as_py()).split())
+        rows = [(lang, word, n) for lang, words in seen.items() for word, n in words.items()]
+        columns = list(zip(*rows)) or [[], [], []]
+        kinds = (pa.string(), pa.binary(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "word", "n"])
+
+
 def learn(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id") -> dict[str, bytes]:
     """Raw-content dictionary of each language: its most frequent words in the sample, the commonest last.
 
-    Learns from the rows with text and language that ``docs`` holds. The sample is drawn by a hash of the key,
-    so it is the same however the rows are dealt. Only the sample reaches the driver.
+    Learns from the rows with text and language that ``docs`` holds; of very many languages from those with most rows
+    (the alphabetically first among equal ones). The sample is drawn by a hash of key and text, so it is the same
+    however the rows are dealt. Words are counted where the texts are; the dictionaries alone reach the driver.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if len(counts) > settings.max_langs:
-        raise ValueError(f"{len(counts)} languages; the dictionaries are sized for {settings.max_langs}")
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.max_langs).collect()
     if not counts:
         return {}
-    share = F.create_map(*[
-        F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, 1.3 * settings.docs_per_lang / n))
-    ])
-    drawn = usable.filter((spread(key) % 1_000_003) / 1_000_003.0 < share[F.col("lang")])
-    rows = drawn.select("lang", spread(key).alias("at"), F.substring("text", 1, settings.chars_per_doc).alias("text"))
-    texts: dict[str, list[tuple[int, str]]] = {}
-    for r in rows.toLocalIterator():
-        texts.setdefault(r.lang, []).append((r.at, r.text))
-    dictionaries = {}
-    for lang, found in sorted(texts.items()):
-        seen: Counter[bytes] = Counter()
-        for _, text in sorted(found)[: settings.docs_per_lang]:
-            seen.update(normal(text).split())
-        chosen, size = [], 0
-        for word, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])):
-            size += len(word) + 1
-            if size > settings.dict_bytes:
-                break
-            chosen.append(word)
-        dictionaries[lang] = b" ".join(reversed(chosen)) + b" "
-    return dictionaries
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, settings.docs_per_lang / r["count"]))])
+    sample = usable.filter((spread(key, "text") % 1_000_003) / 1_000_003.0 < share[F.col("lang")])
+    words = (
+        sample.select("lang", "text").mapInArrow(_counted_words, "lang string, word binary, n bigint")
+        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    )
+    commonest = Window.partitionBy("lang").orderBy(F.desc("n"), "word").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = words.withColumn("size", F.sum(F.octet_length("word") + 1).over(commonest)).filter(F.col("size") <= settings.dict_bytes)
+    chosen: dict[str, list[tuple[int, bytes]]] = {r.lang: [] for r in counts}
+    for r in fitting.toLocalIterator():
+        chosen[r.lang].append((-r.size, bytes(r.word)))
+    return {lang: b" ".join(word for _, word in sorted(found)) + b" " for lang, found in sorted(chosen.items()) if found}
 
 
 class Classifier:

@@ -17,11 +17,10 @@ from ledgerloom.llm.samples import drawn, labelled
 
 @dataclass(frozen=True)
 class Settings:
-    """Learning reads at most ``positives`` and ``unlabelled`` texts of at most ``chars`` characters each."""
+    """Learning reads at most ``positives`` and ``unlabelled`` whole texts."""
 
     positives: int = 1500
     unlabelled: int = 2500
-    chars: int = 4000
     steps: int = 120
     prior: float | None = None
     threshold: float = 0.3
@@ -57,11 +56,11 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     rows = docs.select(key, "text").filter((remainder(key) != 0) & F.col("text").isNotNull())
     known = labelled(rows, labels, "quality", key)
     counts = known.agg(F.avg(F.col("label").cast("double")).alias("share")).first()
-    positive = [t for (t,) in drawn(known.filter("label = 1"), settings.positives, settings.chars, key)]
+    positive = [t for (t,) in drawn(known.filter("label = 1"), settings.positives, key)]
     others = rows.join(labels.select(key).distinct(), key, "left_anti")
-    unlabelled = [t for (t,) in drawn(others, settings.unlabelled, settings.chars, key)]
+    unlabelled = [t for (t,) in drawn(others, settings.unlabelled, key)]
     if not unlabelled:
-        unlabelled = [t for (t,) in drawn(rows, settings.unlabelled, settings.chars, key)]
+        unlabelled = [t for (t,) in drawn(rows, settings.unlabelled, key)]
     if not positive or not unlabelled:
         return None
     prior = settings.prior if settings.prior is not None else counts.share

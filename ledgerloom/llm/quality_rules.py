@@ -24,10 +24,9 @@ _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 
 @dataclass(frozen=True)
 class Settings:
-    """Learning reads at most ``rows`` labelled texts of at most ``chars`` characters; every fifth calibrates."""
+    """Learning reads at most ``rows`` whole labelled texts; every fifth calibrates."""
 
     rows: int = 4000
-    chars: int = 4000
     steps: int = 100
     least_words: int = 50
     most_repeated_percent: int = 50
@@ -92,7 +91,7 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 100) -> Calibrated:
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id") -> Calibrated | None:
     """Model from labelled rows whose crc32 remainder is not 0; None unless both labels occur."""
     rows = docs.select(key, "text").filter((remainder(key) != 0) & F.col("text").isNotNull())
-    sample = drawn(labelled(rows, labels, "quality", key), settings.rows, settings.chars, key, "label")
+    sample = drawn(labelled(rows, labels, "quality", key), settings.rows, key, "label")
     y = np.array([label for label, _ in sample])
     return fit([t for _, t in sample], y, settings.steps) if len(set(y.tolist())) > 1 else None
 

@@ -28,7 +28,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.mix(_table(spark, sf_dir, "documents"), keep=mixing.KEEP)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

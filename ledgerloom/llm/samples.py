@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import spread
 
 
-def drawn(rows: DataFrame, n: int, chars: int, key: str, *columns: str) -> list[tuple]:
-    """At most ``n`` rows (``columns``, text) drawn by a hash of the key, in its order, texts up to ``chars`` long.
+def drawn(rows: DataFrame, n: int, key: str, *columns: str) -> list[tuple]:
+    """At most ``n`` rows (``columns``, text) drawn by a hash of key and text, in its order, texts whole.
 
-    Only these reach the driver. The same rows are drawn however the table is dealt.
+    Only these reach the driver, however many rows share a key: every task sends its first ``n`` at most. The same
+    rows are drawn however the table is dealt.
     """
-    at = spread(key)
     total = rows.count()
     if not total:
         return []
+    at = spread(key, "text")
     few = rows.filter((at % 1_000_003) / 1_000_003.0 < min(1.0, 1.2 * n / total + 1e-9))
-    found = few.select(at.alias("_at"), key, *columns, F.substring("text", 1, chars).alias("text")).toLocalIterator()
-    return [tuple(r)[2:] for r in sorted(found, key=lambda r: (r[0], str(r[1:])))[:n]]
+    chosen = few.select(at.alias("_at"), *columns, "text").orderBy("_at", "text", *columns).limit(n)
+    return [tuple(r)[1:] for r in chosen.collect()]
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, key: str = "doc_id") -> DataFrame:

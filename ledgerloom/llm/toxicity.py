@@ -23,14 +23,13 @@ GRADES = 4
 
 @dataclass(frozen=True)
 class Settings:
-    """Learning reads at most ``rows`` labelled texts of each label, of at most ``chars`` characters, and keeps
+    """Learning reads at most ``rows`` whole labelled texts of each label, and keeps
     weights for at most ``vocabulary`` words, which is what is sent to the tasks. ``least_z`` is how many
     standard deviations, and ``least_times`` how many times, a word must be more frequent in toxic texts than in
     others to be a feature; ``least_docs`` and ``least_share`` are the fewest toxic texts it must stand in, so that
     the rare words of a few copies are none."""
 
     rows: int = 2500
-    chars: int = 8000
     vocabulary: int = 5000
     least_docs: int = 3
     least_z: float = 4.0
@@ -133,7 +132,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     known = labelled(rows, labels, "toxic", key)
     sample = [
         row for value in (0, 1)
-        for row in drawn(known.filter(F.col("label") == value), settings.rows, settings.chars, key, "label")
+        for row in drawn(known.filter(F.col("label") == value), settings.rows, key, "label")
     ]
     toxic = np.array([label for label, _ in sample], dtype=int)
     if len(set(toxic.tolist())) < 2:

@@ -263,6 +263,53 @@ def test_mixing_samples_by_calibrated_probabilities(spark):
         assert math.isclose(mass[k] / sum(mass.values()), want[k] / sum(want.values()), rel_tol=1e-4)
 
 
+def test_a_token_budget_is_kept_and_one_rare_document_changes_little(spark):
+    rng = random.Random(13)
+    rows = [(i, sentence(rng, rng.randrange(20, 60)), rng.choice(["a"] * 8 + ["b"]), rng.choice("pppppq"), 0) for i in range(1500)]
+    kept, gaps = [], []
+    for more in ([], [(9000, "five words of another tongue", "rare", "only", 0)]):
+        got = mixing.mix(spark.createDataFrame(rows + more, DOCS), power=0.5, keep=0.8).collect()
+        total = sum(r.tokens for r in got)
+        assert math.isclose(sum(r.tokens * r.probability for r in got), 0.8 * total, rel_tol=1e-9)
+        kept.append(sum(r.sampled for r in got if r.doc_id < 9000) / len(rows))
+        gaps.append(got[0].gap)
+        assert all(0 < r.probability <= 1 for r in got) and len({r.gap for r in got}) == 1
+        # what is not kept whole stands in the proportions of the weights
+        part = [r for r in got if r.probability < 1]
+        assert max(r.probability / r.weight for r in part) - min(r.probability / r.weight for r in part) < 1e-9
+    assert abs(kept[0] - kept[1]) < 0.01
+    assert gaps[0] <= mixing.TOLERANCE < gaps[1] < 0.1  # a value found with one other value alone cannot meet both
+    everything = mixing.mix(spark.createDataFrame(rows[:50], DOCS), keep=1.0).collect()
+    assert all(r.sampled and r.probability == 1 for r in everything)
+
+
+def test_rare_values_are_one_class(spark):
+    cells = [("s", "l", "t", 10_000), ("s", "m", "t", 5), ("r", "l", "t", 4), ("r", "n", "u", 3)]
+    frame = spark.createDataFrame(cells, "source STRING, lang STRING, topic STRING, tokens BIGINT")
+    got = {(r.source, r.lang, r.topic): (r._source, r._lang, r._topic) for r in mixing.pooled(frame, 0.01).collect()}
+    assert got == {
+        ("s", "l", "t"): ("s", "l", "t"), ("s", "m", "t"): ("s", "(rest)", "t"), ("r", "l", "t"): ("(rest)", "l", "t"),
+        ("r", "n", "u"): ("(rest)", "(rest)", "(rest)"),
+    }
+    assert all(a == b for a, b in {(r.lang, r._lang) for r in mixing.pooled(frame, 0.0).collect()})
+
+
+def test_contradictory_and_unknown_targets_are_errors(spark):
+    cells = spark.createDataFrame([("s", "l", "t", 60), ("r", "m", "t", 40)], "source STRING, lang STRING, topic STRING, tokens BIGINT")
+
+    def shares(dimension, **values):
+        return spark.createDataFrame(list(values.items()), f"{dimension} STRING, share DOUBLE")
+
+    against = {"source": shares("source", s=0.5, r=0.5), "lang": shares("lang", l=0.8, m=0.2)}
+    with pytest.raises(ValueError, match="contradict"):
+        mixing.rake(cells, against)
+    fitted, gap = mixing.fit(cells, against)
+    assert gap > 0.2 and fitted.count() == 2
+    with pytest.raises(ValueError, match="no tokens for the target of lang z"):
+        mixing.rake(cells, {"lang": shares("lang", l=0.5, z=0.5)})
+    assert math.isclose(sum(r.weight for r in mixing.rake(cells, {"lang": shares("lang", l=0.8, m=0.2)}).collect()), 100)
+
+
 def test_caps_find_nearly_all_pairs(spark):
     rng = np.random.default_rng(12)
     base = rng.standard_normal((60, 32))
