@@ -12,7 +12,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is undetermined or too close to another; ``lang`` stays as given."""
+    """Drops documents whose language is undetermined or too close to another; ``lang`` stays as given.
+
+    NULL, blank and letterless texts have no language and go; without one labelled text nothing can be told and all go.
+    """
     rows = docs.select(*COLUMNS)
     return langid.accepted(rows, langid.learn(langid.learning_rows(rows)))
 
@@ -29,7 +32,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated lines and passages, drops documents of which nothing is left, counts n_chars anew."""
+    """Cuts repeated lines and passages, drops documents of which nothing is left, counts n_chars anew.
+
+    Documents that nothing is cut from stay as they are, NULL and empty ones too; an empty table gives an empty one.
+    """
     clean = substring.remove_repeats(docs.select(*COLUMNS))
     left = clean.filter((F.size("removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     count = F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
@@ -37,12 +43,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents sampled towards tempered source, language and topic shares."""
+    """Keeps documents of about nine tenths of the tokens, sampled towards tempered source, language and topic shares.
+
+    NULL labels are a class of their own, a document without a word stays, an empty table gives an empty one.
+    """
     rows = docs.select("doc_id", "text", "lang", "source", F.struct(*COLUMNS).alias("_row"))
-    return mixing.mix(rows, carried=("_row",)).filter("sampled").select("_row.*")
+    return mixing.mix(rows, carried=("_row",), keep=mixing.KEEP).filter("sampled").select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document with their sequence and place; NULL and empty text is its end id alone."""
     return packing.pack(docs)
 
 
