@@ -28,6 +28,8 @@ TOGETHER = 1024
 PRODUCTS = 1 << 22
 # Random vectors that a cap is measured with, and how many times the mean number of filters is looked at of each.
 MEASURED, REACH = 1024, 8
+# More than any two products of unit vectors lie apart, and what searching allows for rounding before sums are compared.
+WIDE, SLACK = 4.0, 1e-9
 # Groups up to this size are compared by shifted rows instead of one product each.
 SMALL = 24
 
@@ -110,18 +112,31 @@ class Code:
 
     def _decoded(self, unit: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
         """List decoding, block by block: a direction of a block can only reach the cap if it does so together with the
-        best ones of the other blocks, which leaves few to combine; all their sums are compared with the cap."""
+        best ones of the other blocks. Partial sums go on with as many of the next block's best directions as can still
+        reach it, so the work follows the filters found and not all combinations."""
         rows, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for nth in range(self.codes if len(unit) else 0):
             cap = _cap(self.words, unit.shape[1], nth, self.each)
             parts = _products(unit, self.words, nth)
-            best = sum(part.max(axis=1) for part in parts)
-            able = [(part >= (cap - best + part.max(axis=1))[:, None]).sum(axis=1).max() for part in parts]
-            if min(able):
-                sums, code = _sums(parts, able, self.words)
-                row, at = np.nonzero(sums >= cap)
-                rows.append(row + first)
-                numbers.append(code[row, at] + nth * self.words ** len(parts))
+            most = [part.max(axis=1) for part in parts]
+            row, reached, code = np.arange(len(unit)), np.zeros(len(unit)), np.zeros(len(unit), dtype=np.int64)
+            for i, part in enumerate(parts):
+                others = sum(most) - most[i]
+                able, word = np.nonzero(part >= (cap - others - SLACK)[:, None])
+                score = part[able, word]
+                order = np.lexsort((-score, able))
+                able, word, score = able[order], word[order], score[order]
+                starts = np.searchsorted(able, np.arange(len(unit)))
+                need = cap - reached - sum(most[i + 1 :], np.zeros(len(unit)))[row] - SLACK
+                # scores fall within a row and rows follow each other, so one search finds each row's last able one
+                upto = np.searchsorted(able * WIDE - score, row * WIDE - need, side="right")
+                n = np.maximum(upto - starts[row], 0)
+                at = np.repeat(starts[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                row, reached = np.repeat(row, n), np.repeat(reached, n) + score[at]
+                code = np.repeat(code, n) * self.words + word[at]
+            found = reached >= cap
+            rows.append(row[found] + first)
+            numbers.append(code[found] + nth * self.words ** len(parts))
         row, number = np.concatenate(rows), np.concatenate(numbers)
         order = np.argsort(row, kind="stable")
         return row[order], number[order]

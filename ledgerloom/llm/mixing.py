@@ -15,6 +15,8 @@ NONE = "(none)"
 TEMPER = 0.95
 TOLERANCE = 1e-6
 SWEEPS = 50
+# A sweep that leaves more than this of the gap is the last.
+STALLED = 0.999
 # A marginal that is further off its given target than this, as a share of it, is an error.
 ALLOWED = 0.01
 # Values with a smaller share of the tokens than this are raked as one class of their dimension.
@@ -70,9 +72,8 @@ def fit(
 
     ``cells`` holds one row per combination of the dimensions with its ``tokens``; a target gives the share of
     each value of its dimension, and values without one get none. Each sweep scales one dimension after the
-    other, and is followed by a look at every marginal. Ends once the gap is at most ``tolerance``, or after ``sweeps``
-    where the targets do not let it (a value found with one value of another dimension alone, say). Cells are at
-    most the combinations that occur; sums over them combine map-side, so no dimension's largest value is one task.
+    other. Ends once a sweep scales by no more than ``tolerance``, or by as much as the one before because the targets
+    contradict each other (a value found with one value of another dimension alone, say), or after ``sweeps``. Cells are at most the combinations that occur; sums over them combine map-side, so no dimension's largest value is one task.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     fitted = saved(cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
@@ -85,16 +86,23 @@ def fit(
             d, F.when(F.col("_now") > 0, wanted / F.col("_now")).otherwise(F.lit(0.0)).alias("_ratio")
         )
 
-    gap = 0.0
+    before = float("inf")
     for _ in range(sweeps if shares else 0):
-        scaled = fitted
+        scaled = fitted.withColumn("_off", F.lit(0.0))
         for d in shares:
-            scaled = scaled.join(ratios(scaled, d), d).withColumn("weight", F.col("weight") * F.col("_ratio")).drop("_ratio")
-        fitted = saved(scaled)
-        off = functools.reduce(DataFrame.unionByName, [ratios(fitted, d).select("_ratio") for d in shares])
-        gap = off.filter("_ratio > 0").agg(F.max(F.abs(F.lit(1.0) - F.lit(1.0) / F.col("_ratio")))).first()[0] or 0.0
-        if gap <= tolerance:
+            moved = F.when(F.col("_ratio") > 0, F.abs(F.log("_ratio")))
+            scaled = scaled.join(ratios(scaled, d), d).withColumns(
+                {"weight": F.col("weight") * F.col("_ratio"), "_off": F.greatest("_off", moved)}
+            ).drop("_ratio")
+        scaled = saved(scaled)
+        off, fitted = scaled.agg(F.max("_off")).first()[0], scaled.drop("_off")
+        if off is None or off <= tolerance or off > STALLED * before:
             break
+        before = off
+    if not shares:
+        return fitted, 0.0
+    every = functools.reduce(DataFrame.unionByName, [ratios(fitted, d).select("_ratio") for d in shares])
+    gap = every.filter("_ratio > 0").agg(F.max(F.abs(F.lit(1.0) - F.lit(1.0) / F.col("_ratio")))).first()[0] or 0.0
     return fitted, gap
 
 
