@@ -198,7 +198,8 @@ def mix(
         rate = sampling_rate(ratios, keep)
     same = functools.reduce(lambda a, b: a & b, [F.col(f"_{d}") == F.col(f"_of_{d}") for d in DIMENSIONS])
     by_class = ratios.select(*[F.col(d).alias(f"_of_{d}") for d in DIMENSIONS], F.col("weight").alias("_weight"))
-    named = classes.join(by_class, same).select(*[F.col(d).alias(f"_is_{d}") for d in DIMENSIONS], "_weight")
+    # written first, so that its size is known when it meets the documents
+    named = saved(classes.join(by_class, same).select(*[F.col(d).alias(f"_is_{d}") for d in DIMENSIONS], "_weight"))
     here = functools.reduce(lambda a, b: a & b, [F.col(d) == F.col(f"_is_{d}") for d in DIMENSIONS])
     full = F.lit(1.0)
     chance = full if rate == float("inf") else F.least(F.col("_weight") * F.lit(rate), full)
