@@ -186,3 +186,21 @@ def test_spans_shuffle_the_facts_once_and_by_loan(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     above = text.split("Union")[0]
     assert len(re.findall(r"Exchange hashpartitioning\(loan_id", above)) <= 2 and "rangepartitioning" not in above
+
+
+@needs_tables
+def test_a_slice_sorts_spans_and_not_days(spark):
+    text = plan(spark, "report_slice")
+    made = text.index("explode(sequence(")
+    assert "Sort" not in text[:made] and "rangepartitioning" not in text[:made] and "rangepartitioning" in text[made:]
+    got = [(r.loan_id, r.report_dt) for r in entry.queries()["report_slice"](spark, SF).collect()]
+    assert got == sorted(got, key=lambda r: (r[0], -r[1].toordinal())) and len(set(got)) == len(got) > 0
+
+
+@needs_tables
+def test_spans_work_balances_and_totals_out_once(spark):
+    """One row number is of the rolled balances; totals are summed for the balances and for the report."""
+    text = plan(spark, "report_spans")
+    assert text.count("row_number()") == 1
+    assert len(re.findall(r"functions=\[[^\]]*partial_count", text)) <= 1
+    assert text.count("lineitem.parquet") == 2
