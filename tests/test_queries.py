@@ -101,3 +101,9 @@ def test_report_days_come_after_the_last_shuffle(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Generate" in above and "Exchange" not in above and "Sort" not in above
+
+
+def test_payments_are_read_by_loan_in_partitions_that_are_not_merged(spark):
+    text = plan(spark, "daily_totals")
+    assert "REPARTITION_BY_NUM" in text and "hashpartitioning(l_orderkey" in text
+    assert "ENSURE_REQUIREMENTS" not in text.split("REPARTITION_BY_NUM")[0].split("HashAggregate")[-1]
