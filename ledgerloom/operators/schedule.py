@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.annuity import RATE, annuity
 from ledgerloom.functions.arith import let, money
+from ledgerloom.operators.partitioning import by_key
 
 SCHEDULE_COLUMNS = (
     "loan_id", "version", "payment_number", "payment_date", "total_payment", "principal_part",
@@ -154,14 +155,15 @@ def _paid_by_period(loans: DataFrame, payments: DataFrame) -> DataFrame:
     """(id, _paid): what was paid in each period of a loan as (period, cents) in order, one entry a period.
 
     Payments are summed per loan and day before they meet the loans, so a loan holding much of the table joins as a
-    few days; a loan has at most ``term_months`` entries. All groups are by loan, so there is one shuffle of the days.
+    few days; a loan has at most ``term_months`` entries. All groups are by loan, so there is one shuffle of the days,
+    in partitions that are not merged: the joins and sums that follow share a task, and each holds rows of its own.
     """
     by_day = payments.groupBy(F.col("loan_id").alias("id"), "payment_date").agg(
         F.sum("payment_amount").alias("_amount")
     )
     period = period_of(F.col("start_date"), F.col("payment_date"))
     return (
-        by_day.join(loans.select("id", "start_date", "term_months"), "id")
+        by_key(by_day, "id").join(loans.select("id", "start_date", "term_months"), "id")
         .select("id", period.alias("_period"), "term_months", "_amount")
         .filter(F.col("_period").between(F.lit(1), F.col("term_months")))
         .groupBy("id", "_period").agg(_cents(F.sum("_amount")).alias("_cents"))

@@ -107,3 +107,10 @@ def test_payments_are_read_by_loan_in_partitions_that_are_not_merged(spark):
     text = plan(spark, "daily_totals")
     assert "REPARTITION_BY_NUM" in text and "hashpartitioning(l_orderkey" in text
     assert "ENSURE_REQUIREMENTS" not in text.split("REPARTITION_BY_NUM")[0].split("HashAggregate")[-1]
+
+
+def test_contract_payments_are_read_by_loan_in_partitions_that_are_not_merged(spark):
+    text = plan(spark, "recalculate_schedule")
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, \d+\), REPARTITION_BY_NUM", text)
+    # dealt once: the sums of days find the rows by their loan already
+    assert text.count("REPARTITION_BY_NUM") == 1

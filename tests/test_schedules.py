@@ -215,6 +215,18 @@ def test_one_recalculation_gives_schedule_and_status(spark, tmp_path):
     assert {(r.loan_id, r.new_status) for r in both.collect()} == set(status.items()) == {(1, "closed"), (2, "overdue"), (3, "closed")}
 
 
+def test_paid_days_are_dealt_by_loan_in_partitions_that_are_not_merged(spark, tmp_path):
+    """Loans whose paid days differ in number give the rows of a plain sum."""
+    loans = seed.contracts(spark, [(i, Decimal("900.00"), Decimal("0.00"), 3, day("2025-01-01"), "active") for i in range(40)])
+    rows = [(i, f"2025-01-{d + 2:02d}", "1.00") for i in range(40) for d in range(i % 5)] * 2
+    path = str(tmp_path / "paid")
+    seed.contract_payments(spark, rows).write.parquet(path)
+    done = schedule.recalculate_schedule(loans, spark.read.parquet(path), empty_schedules(spark))
+    assert "REPARTITION_BY_NUM" in done._jdf.queryExecution().executedPlan().toString()
+    first = {r.loan_id: (r.status, r.total_payment) for r in done.filter("payment_number = 1").collect()}
+    assert first == {i: ("actual", Decimal(2 * (i % 5))) if i % 5 else ("scheduled", Decimal(300)) for i in range(40)}
+
+
 def test_loans_without_a_period_keep_their_status(spark):
     loans = seed.contracts(spark, [(1, Decimal("5.00"), Decimal("1.00"), 0, day("2025-01-31"), "active")])
     done = schedule.recalculate(loans, seed.contract_payments(spark, []), empty_schedules(spark), "2026-01-01")
