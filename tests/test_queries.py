@@ -114,3 +114,9 @@ def test_contract_payments_are_read_by_loan_in_partitions_that_are_not_merged(sp
     assert re.search(r"hashpartitioning\(l_orderkey#\d+L, \d+\), REPARTITION_BY_NUM", text)
     # dealt once: the sums of days find the rows by their loan already
     assert text.count("REPARTITION_BY_NUM") == 1
+
+
+def test_balances_are_caught_up_over_payments_read_by_loan(spark):
+    text = plan(spark, "catch_up_balances")
+    dealt = re.findall(r"hashpartitioning\(l_orderkey#\d+L?, \d+\), (\w+)", text)
+    assert dealt and set(dealt) == {"REPARTITION_BY_NUM"}
