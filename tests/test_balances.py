@@ -117,6 +117,31 @@ def test_report_of_two_days(spark):
     ]
 
 
+@pytest.mark.parametrize("copies", [1, 2])
+def test_report_of_events_before_the_opening_and_of_repeated_rows(spark, copies):
+    """Days before the opening do not count; each event of a repeated row stands once a copy, an empty day once."""
+    balance = opened(spark, "flat").limit(1)
+    history = balance.unionByName(balance.withColumn("balance_date", F.lit("2025-03-10").cast("date")))
+    history = history.unionByName(balance.withColumn("balance_date", F.lit("2025-03-19").cast("date")))
+    paid = seed.payments(spark, [
+        (1, 3001, "x", "2025-03-12 09:00:00", 5), (2, 3001, "x", "2025-03-19 09:00:00", 7), (3, 3001, "x", "2025-03-21 09:00:00", 9),
+    ])
+    loan = seed.loans(spark).filter("id = 3001")
+    loans = loan.withColumn("open_dttm", F.lit("2025-03-15").cast("timestamp_ntz"))
+    for _ in range(copies - 1):
+        loans = loans.unionByName(loans)
+    report = accrual.loan_day_report_fixed(
+        loans, seed.products_flat(spark), seed.offers(spark), seed.terms(spark), payments.daily_totals(paid),
+        history, "2025-03-11", "2025-03-22",
+    )
+    rows = sorted((r.report_dt.day, r.loan_balance is not None, r.daily_total_amount, r.loan_status) for r in report.collect())
+    events = {17: (True, None, "ACTIVE"), 19: (True, 7, "ACTIVE"), 21: (False, 9, "NO BALANCE DATA")}
+    assert [(r[0], *r[1:]) for r in rows] == [
+        (day, *events.get(day, (False, None, "NO BALANCE DATA")))
+        for day in range(15, 23) for _ in range(copies if day in events else 1)
+    ]
+
+
 def test_payment_upsert_cut_and_replay(spark):
     table = seed.payments(spark, [(4009, 3004, "ride_payment", "2025-03-06 19:00:00", 690)] + seed.WALKTHROUGH[:3])
     staged = seed.payments(spark, [(4100, 3001, "ride_payment", "2025-03-18 11:00:00", 1)] + seed.WALKTHROUGH[3:])

@@ -103,6 +103,18 @@ def test_report_days_come_after_the_last_shuffle(spark, name):
     assert "Generate" in above and "Exchange" not in above and "Sort" not in above
 
 
+def test_stored_days_are_sorted_once_and_before_they_meet_their_loan(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, "loan_day_report_stored")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, _, below = text.partition("SortMergeJoin")
+    for step in ("Sort ", "Window ", "Exchange"):
+        assert step not in above, step
+    assert re.search(r"hashpartitioning\(_loan#\d+L, \d+\), REPARTITION_BY_NUM", below)
+
+
 def test_payments_are_read_by_loan_in_partitions_that_are_not_merged(spark):
     text = plan(spark, "daily_totals")
     assert "REPARTITION_BY_NUM" in text and "hashpartitioning(l_orderkey" in text
