@@ -267,6 +267,15 @@ def unpacked(data: bytes | None, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Compressed bytes of keys in ascending order, each as what it is above the one before."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes | None) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def _counted(counts: np.ndarray) -> tuple[bytes, bytes]:
     """Counts, most of them one, as a bit for those and the other numbers."""
     one = counts == 1
@@ -300,6 +309,10 @@ def _joined(rows: list[dict], column: str, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *[unpacked(r[column], kind) for r in rows]])
 
 
+def _joined_keys(rows: list[dict]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *[unpacked_keys(r["x0"]) for r in rows]])
+
+
 def _cuts(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     """(part, begin, end) of each part of the hash range that sorted keys fall in."""
     if len(keys):
@@ -403,7 +416,7 @@ def _ask(model: Model):
         rows = []
         for kind, keys, counts in (("w", chunk.words, chunk.word_counts()), ("p", *chunk.pair_counts())):
             for part, a, b in _cuts(keys, model.bits):
-                rows.append(_row(number, part, kind, packed(keys[a:b]), *_counted(counts[a:b])))
+                rows.append(_row(number, part, kind, packed_keys(keys[a:b]), *_counted(counts[a:b])))
         return _messages(rows)
 
     return run
@@ -415,7 +428,7 @@ def _total(asked: pa.Table) -> pa.Table:
     Statistics: distinct keys, keys counted once and twice, and the sum; the start mark is no word.
     """
     rows = sorted(asked.to_pylist(), key=lambda r: r["chunk"])
-    each = [unpacked(r["x0"], np.uint64) for r in rows]
+    each = [unpacked_keys(r["x0"]) for r in rows]
     sizes, keys = [len(x) for x in each], np.concatenate(each)
     own = np.concatenate([_uncounted(r["x1"], r["x2"], n) for r, n in zip(rows, sizes)])
     found, at = np.unique(keys, return_inverse=True)
@@ -468,14 +481,14 @@ def _settle(model: Model):
         ending = np.bincount(w[first], minlength=len(count)).astype(np.int32)
         beginning = np.bincount(u[first], minlength=len(count)).astype(np.int32)
         for part, a, b in _cuts(chunk.words, model.bits):
-            columns = (chunk.words[a:b], ending[a:b], beginning[a:b], count[a:b])
-            rows.append(_row(number, part, "words", *map(packed, columns)))
+            columns = (ending[a:b], beginning[a:b], count[a:b])
+            rows.append(_row(number, part, "words", packed_keys(chunk.words[a:b]), *map(packed, columns)))
         shared = first & (pair_count > 1)
         named, place = np.unique(np.concatenate((u[shared], w[shared])), return_inverse=True)
         place, n = place.astype(np.int32), int(shared.sum())
         rows.append(_row(number, -1, "cells", packed(place[:n]), packed(place[n:]), packed(pair_count[shared])))
         for part, a, b in _cuts(chunk.words[named], model.bits):
-            rows.append(_row(number, part, "asks", packed(chunk.words[named][a:b])))
+            rows.append(_row(number, part, "asks", packed_keys(chunk.words[named][a:b])))
         rows.append(_row(number, -1, "pairs", *_counted(pair_count)))
         learn = np.packbits(chunk.doc_learn).tobytes()
         frequent = np.argsort(-np.bincount(chunk.word, minlength=len(chunk.words)), kind="stable").astype(np.int32)
@@ -490,34 +503,56 @@ def _settle(model: Model):
 
 
 def _open(rows: pa.Table) -> pa.Table:
-    """State of one part before the first round: every pair has one table, every word of the root too."""
+    """State of one part before the first round: every pair has one table, every word of the root too.
+
+    'at' by chunk: where its words stand among the keys of the state, which stay the same in all rounds.
+    """
     words = _of(rows, "words")
-    keys, at = np.unique(_joined(words, "x0", np.uint64), return_inverse=True)
+    each = [unpacked_keys(r["x0"]) for r in words]
+    keys, at = np.unique(np.concatenate(each), return_inverse=True)
     m, u = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
     np.add.at(m, at, _joined(words, "x1", np.int32))
     np.add.at(u, at, _joined(words, "x2", np.int32))
-    return _state(words[0]["part"], "state", keys, m, np.minimum(m, 1), u)
+    known = (m > 0) | (u > 0)
+    keys, m, u = keys[known], m[known], u[known]
+    places = [
+        _row(r["chunk"], r["part"], "at", *_placed(*_found(keys, mine))) for r, mine in zip(words, each)
+    ]
+    return pa.concat_tables([_state(words[0]["part"], "state", keys, m, np.minimum(m, 1), u), _messages(places)])
 
 
 def _state(part: int, kind: str, keys, m, t, u) -> pa.Table:
-    known = (m > 0) | (u > 0)
-    keys, m, t, u = keys[known], m[known], t[known], u[known]
     stats = (m.sum(), t.sum(), (m == 1).sum(), (m == 2).sum())
-    return _messages([_row(-1, part, kind, packed(keys), packed(m), packed(t), packed(u), stats=stats)])
+    return _messages([_row(-1, part, kind, packed_keys(keys), packed(m), packed(t), packed(u), stats=stats)])
+
+
+def _found(keys: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``mine`` stand or would stand among ``keys``, both ascending, and which of them are there."""
+    at = np.searchsorted(keys, mine)
+    return at, (at < len(keys)) & (np.append(keys, np.uint64(0))[at] == mine)
+
+
+def _placed(at: np.ndarray, there: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending places as steps, most of them of one byte, and a bit for each that is taken."""
+    return packed(np.diff(at, prepend=0).astype(np.int32)), np.packbits(there).tobytes()
+
+
+def _unplaced(steps: bytes, there: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.cumsum(unpacked(steps, np.int32), dtype=np.int64)
+    return at, np.unpackbits(np.frombuffer(there, dtype=np.uint8), count=len(at)).astype(bool)
 
 
 def _looked_up(asked: pa.Table, state: pa.Table, of: str, kind: str) -> list[tuple]:
-    """For each chunk's keys: customers, root tables and own tables; zero where never learned."""
+    """For each chunk's keys, or places of keys: customers, root tables and own tables; zero where never learned."""
     (now,) = _of(state, of) or [None]
     if now is None:
         return []
-    keys = unpacked(now["x0"], np.uint64)
+    keys = unpacked_keys(now["x0"])
     columns = [np.concatenate((unpacked(now[x], np.int64), [0])) for x in ("x1", "x2", "x3")]
     rows = []
     for r in sorted(asked.to_pylist(), key=lambda r: r["chunk"]):
-        mine = unpacked(r["x0"], np.uint64)
-        at = np.searchsorted(keys, mine)
-        at = np.where((at < len(keys)) & (np.append(keys, 0)[at] == mine), at, len(keys))
+        at, there = _unplaced(r["x0"], r["x1"]) if r["kind"] == "at" else _found(keys, unpacked_keys(r["x0"]))
+        at = np.where(there, at, len(keys))
         rows.append(_row(r["chunk"], r["part"], kind, *[packed(c[at]) for c in columns]))
     return rows
 
@@ -529,7 +564,7 @@ def _seat(model: Model, nth: int):
         cells, asks = _of(kept, "cells"), _of(kept, "asks")
         if not asks:
             return _messages([])
-        keys = _joined(asks, "x0", np.uint64)
+        keys = _joined_keys(asks)
         got = _of(answers, "answer")
         m, t, u = (_joined(got, x, np.int64) for x in ("x0", "x1", "x2"))
         before, word = unpacked(cells[0]["x0"], np.int32), unpacked(cells[0]["x1"], np.int32)
@@ -538,7 +573,7 @@ def _seat(model: Model, nth: int):
         more = [np.bincount(at, drawn, minlength=len(keys)).astype(np.int64) for at in (word, before)]
         number = cells[0]["chunk"]
         return _messages([
-            _row(number, part, "more", packed(keys[a:b]), packed(more[0][a:b]), packed(more[1][a:b]))
+            _row(number, part, "more", packed_keys(keys[a:b]), packed(more[0][a:b]), packed(more[1][a:b]))
             for part, a, b in _cuts(keys, model.bits)
         ])
 
@@ -552,10 +587,10 @@ def _reseat(model: Model, nth: int):
         first = _of(opened, "state")
         if not first:
             return _messages([])
-        keys, m, u = (unpacked(first[0][x], k) for x, k in (("x0", np.uint64), ("x1", np.int64), ("x3", np.int64)))
-        m, u = m.copy(), u.copy()
+        keys = unpacked_keys(first[0]["x0"])
+        m, u = (unpacked(first[0][x], np.int64).copy() for x in ("x1", "x3"))
         rows = _of(more, "more")
-        at = np.searchsorted(keys, _joined(rows, "x0", np.uint64))
+        at = np.searchsorted(keys, _joined_keys(rows))
         np.add.at(m, at, _joined(rows, "x1", np.int64))
         np.add.at(u, at, _joined(rows, "x2", np.int64))
         base = np.full(len(m), 1.0 / (model.distinct + 1))
@@ -583,7 +618,7 @@ def _score(model: Model, key: str, burn: int):
 
     def run(kept: pa.Table) -> pa.Table:
         of_words, (some,) = _of(kept, "words"), _of(kept, "pairs")
-        words, count = _joined(of_words, "x0", np.uint64), _joined(of_words, "x3", np.int64)
+        words, count = _joined_keys(of_words), _joined(of_words, "x3", np.int64)
         places = kept.filter(pc.equal(kept["kind"], "places"))
         rank, frequent = (unpacked(places[x][0].as_py(), np.int32) for x in ("x0", "x1"))
         word = frequent[rank]
@@ -684,10 +719,11 @@ def log_likelihood(
     )
     settled = bundles.cogroup(answers.groupBy("chunk")).applyInArrow(_settle(model), f"{MESSAGE}, names array<{kind}>")
     kept = saved(settled)
-    del bundles, answers
-    _release(docs.sparkSession)
+    del bundles, answers, settled
     distinct, _, _, tokens = _stats(kept, "ws")
     _, once, twice, _ = _stats(kept, "ps")
+    # only now: Spark's listeners hold the plan of a write until later jobs have come to them
+    _release(docs.sparkSession)
     model = replace(model, tokens=tokens, distinct=distinct, discount=_discount(once, twice))
 
     def by(kinds: str | list[str]) -> DataFrame:
@@ -701,6 +737,7 @@ def log_likelihood(
     model = replace(
         model, root_discount=_discount(once, twice), customers=(customers,), tables=(root_tables,)
     )
+    asked, opened = opened.filter("kind = 'at'"), state(opened)
     answered = by("asks").groupBy("part").cogroup(opened.groupBy("part")).applyInArrow(
         _answer({"state": "answer"}), MESSAGE
     )
@@ -719,8 +756,6 @@ def log_likelihood(
     past = functools.reduce(DataFrame.unionByName, [
         states[nth].withColumn("kind", F.lit(f"state{nth}")) for nth in range(burn, rounds + 1)
     ])
-    none = {x: F.lit(None).cast("binary").alias(x) for x in ("x1", "x2", "x3")}
-    asked = by("words").select(*[none.get(c, F.col(c)) for c in _FIELDS])
     found = asked.groupBy("part").cogroup(past.groupBy("part")).applyInArrow(
         _answer({f"state{nth}": f"answer{nth}" for nth in range(burn, rounds + 1)}), MESSAGE
     )

@@ -446,6 +446,46 @@ def test_table_draws_of_large_dishes_level_off(c, p, strength):
     assert abs(drawn.mean() - mean) < 5 * spread / math.sqrt(n) and math.isclose(drawn.std(), spread, rel_tol=0.1)
 
 
+def test_language_model_keys_in_order_are_stored_as_differences():
+    rng = np.random.default_rng(3)
+    for bits in (64, 48):  # as many as a chunk has of one part in 64
+        keys = np.unique(rng.integers(0, 2**58, 3_000, dtype=np.uint64) >> np.uint64(64 - bits) << np.uint64(64 - bits))
+        stored = hpylm.packed_keys(keys)
+        assert np.array_equal(hpylm.unpacked_keys(stored), keys) and len(stored) < 0.95 * len(hpylm.packed(keys))
+    assert len(hpylm.unpacked_keys(hpylm.packed_keys(keys[:0]))) == len(hpylm.unpacked_keys(None)) == 0
+
+
+def test_language_model_words_find_their_state_by_place():
+    """A chunk's places among a part's keys give what its keys give, in far fewer bytes; unknown words give zeros."""
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 2**64, 5_000, dtype=np.uint64))
+    learned = np.sort(rng.choice(keys, 3_000, replace=False))
+    m, u = (rng.integers(1, 50, len(learned)) for _ in range(2))
+    state = hpylm._state(0, "state", learned, m, np.minimum(m, 1), u)
+    mine = np.sort(rng.choice(keys, 2_000, replace=False))
+    by_place, by_key = hpylm._placed(*hpylm._found(learned, mine)), (hpylm.packed_keys(mine),)
+    rows = [
+        hpylm._looked_up(hpylm._messages([hpylm._row(1, 0, kind, *stored)]), state, "state", "answer")
+        for kind, stored in (("at", by_place), ("asks", by_key))
+    ]
+    assert rows[0] == rows[1]
+    assert 4 * sum(map(len, by_place)) < len(by_key[0])
+    own = dict(zip(learned.tolist(), m.tolist()))
+    assert hpylm.unpacked(rows[0][0][3], np.int64).tolist() == [own.get(k, 0) for k in mine.tolist()]
+
+
+def test_language_model_releases_shuffles_before_the_next_step(spark, docs, monkeypatch):
+    """What the chunks asked is let go once a later job has run, and before the words are dealt by part."""
+    steps = []
+    for name in ("saved", "_stats", "_release"):
+        def call(*args, name=name, of=getattr(hpylm, name)):
+            steps.append(name)
+            return of(*args)
+        monkeypatch.setattr(hpylm, name, call)
+    hpylm.log_likelihood(docs, rounds=2)
+    assert steps[:5] == ["saved", "_stats", "_stats", "_release", "saved"]
+
+
 def test_language_model_base_and_gain(spark, docs):
     got = {r.doc_id: r for r in hpylm.log_likelihood(docs).collect()}
     tokens = {i: [*(t or "").split(), None] for i, t, *_ in corpus()}
