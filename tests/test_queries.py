@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks import catalog
+from ledgerloom.operators import partitioning
 from tests.compare import compare, connect
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -128,6 +129,28 @@ def test_contract_payments_are_read_by_loan_in_partitions_that_are_not_merged(sp
     assert text.count("REPARTITION_BY_NUM") == 1
 
 
+def test_partitions_by_loan_grow_with_the_rows(spark):
+    rows = spark.range(10).selectExpr("id AS loan_id")
+    for n, parts in ((0, 4), (10, 4), (4 * partitioning.PARTITION_ROWS, 4), (40 * partitioning.PARTITION_ROWS + 1, 41)):
+        assert partitioning.by_key(rows, "loan_id", n).rdd.getNumPartitions() == parts
+
+
+def test_one_day_is_rolled_without_another_shuffle_of_payments(spark, monkeypatch):
+    """More partitions than the session has show who follows the payments' number: all that meets them by loan."""
+    monkeypatch.setattr(partitioning, "PARTITION_ROWS", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("catch_up_balances", "roll_one_day"):
+            text = plan(spark, name)
+            many = set(re.findall(r"hashpartitioning\(l_orderkey#\d+L?, (\d+)\), REPARTITION_BY_NUM", text))
+            assert len(many) == 1 and int(*many) > 4
+            assert re.search(rf"hashpartitioning\(o_orderkey#\d+L?, {int(*many)}\), ENSURE_REQUIREMENTS", text)
+            # neither payments nor balances are dealt by loan and day
+            assert not re.search(r"hashpartitioning\(loan_id#\d+L?, \w+#\d+", text)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_balances_are_caught_up_over_payments_read_by_loan(spark):
     text = plan(spark, "catch_up_balances")
     dealt = re.findall(r"hashpartitioning\(l_orderkey#\d+L?, \d+\), (\w+)", text)
