@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ledgerloom import schemas
 from ledgerloom.operators import accrual, balances, payments, spans
+from ledgerloom.operators.partitioning import by_key
 from ledgerloom.plans.daily_cycle import catch_up_day
 from tests import seed_frames as seed
 
@@ -167,6 +168,35 @@ def test_payments_of_other_loans_do_not_reach_the_window(spark):
     assert "LeftSemi" in below and "LeftSemi" not in text[: text.index("Window [")]
 
 
+def above(df, what):
+    """For each node of the plan that names ``what``, the nodes above it."""
+    found, path = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        node = line.lstrip(" :+-")
+        depth = len(line) - len(node)
+        path = [(d, n) for d, n in path if d < depth]
+        if what in node:
+            found.append([n for _, n in path])
+        path.append((depth, node))
+    return found
+
+
+def test_a_history_held_by_loan_is_rebuilt_without_a_shuffle_of_its_days(spark):
+    opened, paid, _ = random_book(spark, 11)
+    opened, daily, day = by_key(opened, "loan_id"), payments.daily_totals(by_key(paid, "loan_id")), on(50)
+    history = opened.unionByName(balances.catch_up(opened, daily, day))
+    after = paid.filter("id % 9 != 0")
+    later = payments.daily_totals(after)
+    got = balances.merge_rebuilt(
+        history, *balances.rebuild_changed(history, later, balances.changed_loans(paid, after), day)
+    )
+    days = above(got, "explode(sequence(")
+    assert len(days) >= 3 and not [n for nodes in days for n in nodes if n.startswith("Exchange")]
+    # nor are the rows that stay sorted
+    assert not [n for n in days[0] if n.startswith("Sort")]
+    assert content(got) == content(opened.unionByName(balances.catch_up(opened, later, day)))
+
+
 @needs_tables
 @pytest.mark.parametrize("name", ["report_slice", "report_on_day", "report_of_range", "report_of_loan"])
 def test_no_day_is_made_before_the_filter_of_a_slice(spark, name):
