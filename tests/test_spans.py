@@ -218,6 +218,47 @@ def test_spans_shuffle_the_facts_once_and_by_loan(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(loan_id", above)) <= 2 and "rangepartitioning" not in above
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["report_spans", "loan_day_report"])
+def test_facts_held_by_loan_are_not_shuffled_again(spark, name):
+    """Balances and totals come by loan, and the loans meet them hashed, so the facts are sorted once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rolled = above(entry.queries()[name](spark, SF), "Generate inline(")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rolled) == 1 and not [n for n in rolled[0] if n.startswith("Exchange")]
+    # by loan and day as they are, then by loan and the days on which something changes
+    assert len([n for n in rolled[0] if n.startswith("Sort ")]) <= 2
+    assert not [n for n in rolled[0] if n.startswith("SortMergeJoin")]
+
+
+def test_loans_without_facts_and_days_at_the_bounds(spark):
+    """A span from before the calendar, one that ends with it, and loans that have no balance, no payment or no id."""
+    loans = spark.createDataFrame(
+        [(i, 2001, 1, "ACTIVE", dt_.datetime(2025, 1, d), dt_.datetime(2025, 9, 1), None) for i, d in
+         ((1, 2), (2, 9), (3, 12), (4, 30), (None, 3))], schemas.LOANS.replace(" NOT NULL", ""),
+    )
+    offers = spark.createDataFrame([(1, 2001, 1000, "ACTIVE")], schemas.OFFERS)
+    daily = spark.createDataFrame(
+        [(1, on(13), 7, 1), (2, on(10), 9, 2), (2, on(11), 9, 2), (2, on(40), 9, 2), (9, on(10), 1, 1)],
+        "loan_id INT, payment_dttm DATE, daily_total_amount BIGINT, payments_count BIGINT",
+    )
+    held = spark.createDataFrame(
+        [(1, on(1), on(12), 900, 0, 0, 900), (1, on(14), on(60), 800, 0, 0, 800), (3, on(2), on(15), 1, 1, 1, 3)],
+        "loan_id INT, valid_from DATE, valid_to DATE, open_principal INT, open_interest INT, open_vat INT, loan_balance INT",
+    )
+    made = spans.report_spans(loans, seed.products_policy(spark), offers, seed.terms(spark), daily, held, on(10), on(20))
+    got = sorted(
+        (r.loan_id, (r.valid_from - START).days, (r.valid_to - START).days, r.loan_balance, r.payments_count)
+        for r in made.collect()
+    )
+    assert got == [
+        (1, 10, 12, 900, None), (1, 13, 13, None, 1), (1, 14, 20, 800, None),
+        (2, 10, 11, None, 2), (2, 12, 20, None, None), (3, 11, 20, None, None),
+    ]
+
+
 @needs_tables
 def test_a_slice_sorts_spans_and_not_days(spark):
     text = plan(spark, "report_slice")
