@@ -219,7 +219,7 @@ def test_spans_shuffle_the_facts_once_and_by_loan(spark):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", ["report_spans", "loan_day_report"])
+@pytest.mark.parametrize("name", ["report_spans", "loan_day_report", "loan_day_report_fixed"])
 def test_facts_held_by_loan_are_not_shuffled_again(spark, name):
     """Balances and totals come by loan, and the loans meet them hashed, so the facts are sorted once."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
