@@ -233,6 +233,41 @@ def test_facts_held_by_loan_are_not_shuffled_again(spark, name):
     assert not [n for n in rolled[0] if n.startswith("SortMergeJoin")]
 
 
+@needs_tables
+def test_stored_days_held_by_loan_are_sorted_once_and_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = above(entry.queries()["loan_day_report_stored"](spark, SF), "explode(sequence(_from")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    kinds = [[n.split()[0] for n in nodes] for nodes in days]
+    assert len(kinds) == 1 and "Exchange" not in kinds[0] and "SortMergeJoin" not in kinds[0]
+    assert kinds[0].count("Sort") == 1
+
+
+def test_payments_stand_on_each_balance_of_their_day(spark):
+    """Also where a day's balance is stored twice, on a loan's first day, and on a day without a balance."""
+    loans = spark.createDataFrame(
+        [(i, 2001, 1, "ACTIVE", dt_.datetime(2025, 1, 3), dt_.datetime(2025, 9, 1), None) for i in (1, 2)], schemas.LOANS
+    )
+    offers = spark.createDataFrame([(1, 2001, 1000, "ACTIVE")], schemas.OFFERS)
+    daily = spark.createDataFrame(
+        [(1, on(4), 7, 1), (1, on(5), 8, 2), (1, on(8), 9, 3), (2, on(1), 5, 5), (2, on(6), 6, 6)],
+        "loan_id INT, payment_dttm DATE, daily_total_amount BIGINT, payments_count BIGINT",
+    )
+    stored = spark.createDataFrame(
+        [(1, on(4), 9, 0, 0, 9), (1, on(5), 8, 0, 0, 8), (1, on(5), 8, 0, 0, 8)], schemas.BALANCES
+    )
+    made = accrual.loan_day_report(loans, seed.products_policy(spark), offers, seed.terms(spark), daily, stored, on(0), on(9))
+    got = sorted(
+        (r.loan_id, (r.report_dt - START).days, r.loan_balance or 0, r.payments_count or 0) for r in made.collect()
+    )
+    assert got == [
+        (1, 2, 0, 0), (1, 3, 0, 0), (1, 4, 9, 1), (1, 5, 8, 2), (1, 5, 8, 2), (1, 6, 0, 0), (1, 7, 0, 0), (1, 8, 0, 3),
+        (1, 9, 0, 0), *[(2, d, 0, 6 * (d == 6)) for d in range(2, 10)],
+    ]
+
+
 def test_loans_without_facts_and_days_at_the_bounds(spark):
     """A span from before the calendar, one that ends with it, and loans that have no balance, no payment or no id."""
     loans = spark.createDataFrame(
